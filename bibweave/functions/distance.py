@@ -7,7 +7,7 @@ narrowed down with the native ``levenshtein``.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 
 def osa(a: str, b: str) -> int:
@@ -53,12 +53,12 @@ def jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
     return jaro + prefix * scale * (1 - jaro)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def osa_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([osa(x, y) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def jaro_winkler_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler(x, y) for x, y in zip(a, b)])
 

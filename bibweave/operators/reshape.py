@@ -31,12 +31,12 @@ def rename_by_mapping(df: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame
     return df.select(*[F.col(f"`{c}`").alias(mapping[c]) for c in known]), unknown
 
 
-def conform(df: DataFrame, schema: T.StructType, mapping: dict[str, str] | None = None) -> DataFrame:
+def conform(df: DataFrame, schema: str, mapping: dict[str, str] | None = None) -> DataFrame:
     """View a table under a canonical schema: mapped names, missing columns null."""
     source = {v: k for k, v in (mapping or {}).items()}
     have = set(df.columns)
     out = []
-    for f in schema.fields:
+    for f in T.StructType.fromDDL(schema).fields:
         name = source.get(f.name, f.name)
         col = F.col(f"`{name}`").try_cast(f.dataType) if name in have else F.lit(None).cast(f.dataType)
         out.append(col.alias(f.name))

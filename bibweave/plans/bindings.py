@@ -70,10 +70,11 @@ SELECT
        WHEN l_partkey % 61 = 1 THEN concat('zz', l_suppkey) WHEN l_partkey % 67 = 1 THEN 'ab12'
        ELSE concat('u1', chr(CAST(97 + l_suppkey % 26 AS INT)), lpad(CAST(l_suppkey AS VARCHAR(20)), 5, '9')) END AS staffid,
   CASE WHEN l_partkey % 5 IN (0, 1) THEN NULL
-       WHEN l_partkey % 71 = 2 THEN concat('0000-0002-1825-', l_suppkey % 10)
-       WHEN l_partkey % 73 = 2 THEN concat('0000-0001-0000-', lpad(CAST((l_suppkey + 1) % 10000 AS VARCHAR(20)), 4, '0'))
+       WHEN l_partkey % 71 = 2 AND l_suppkey % 3 <> 0 THEN concat('0000-0002-1825-', l_suppkey % 10)
+       WHEN l_partkey % 73 = 2 AND l_suppkey % 3 <> 0 THEN concat('0000-0001-0000-', lpad(CAST((l_suppkey + 1) % 10000 AS VARCHAR(20)), 4, '0'))
        ELSE concat('0000-0001-0000-', lpad(CAST(l_suppkey % 10000 AS VARCHAR(20)), 4, '0')) END AS orcid,
-  CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE CAST(l_suppkey AS VARCHAR(20)) END AS orgid,
+  CASE WHEN l_partkey % 6 = 0 THEN NULL WHEN l_partkey % 7 = 3 THEN CAST(l_suppkey + 1 AS VARCHAR(20))
+       ELSE CAST(l_suppkey AS VARCHAR(20)) END AS orgid,
   CASE WHEN l_partkey % 6 = 0 THEN concat('Ext ', l_partkey % 10) ELSE NULL END AS extorg,
   CASE WHEN l_partkey % 2 = 0 OR l_suppkey % 9 = 0 THEN NULL ELSE concat('aut', l_suppkey) END AS autid,
   CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE concat('10.1000/', CASE WHEN l_partkey % 83 = 0 THEN 'å' ELSE 'a' END, l_orderkey) END AS "DOI",

@@ -1,4 +1,9 @@
 """All named queries; importing the modules registers them."""
 
-from bibweave.plans import queries_checks  # noqa: F401
+from bibweave.plans import (  # noqa: F401
+    queries_checks,
+    queries_functions,
+    queries_identity,
+    queries_relational,
+)
 from bibweave.plans.registry import ORACLES, QUERIES  # noqa: F401

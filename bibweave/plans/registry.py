@@ -26,7 +26,7 @@ def dates_as_text(df: DataFrame) -> DataFrame:
     """Dates leave a query as ISO text, the form every client reads alike."""
     return df.select(
         *[
-            F.col(f"`{n}`").cast("string").alias(n) if t in ("date", "timestamp") else F.col(f"`{n}`")
+            F.col(f"`{n}`").cast("string").alias(n) if t in ("date", "timestamp", "timestamp_ntz") else F.col(f"`{n}`")
             for n, t in df.dtypes
         ]
     )
