@@ -54,13 +54,20 @@ def longer(df: DataFrame, ids: list[str], values: list[str], name: str = "name",
     return df.unpivot(ids, values, name, value)
 
 
-def wider(df: DataFrame, ids: list[str], name: str, value: str, names: list[str], sep: str = "|") -> DataFrame:
-    """Names to columns; several values of one cell are joined in value order.
+def wider(
+    df: DataFrame, ids: list[str], name: str, value: str, names: list[str], sep: str = "|", order: str | None = None
+) -> DataFrame:
+    """Names to columns; several values of one cell are joined in order of
+    ``order``, or of the values themselves.
 
     The names are given, so no job is needed to discover them."""
-    cell = lambda n: F.array_join(
-        F.array_sort(F.collect_list(F.when(F.col(name) == n, F.col(value)))), sep
-    )
+    rank = F.col(order or value)
+
+    def cell(n: str) -> Column:
+        hit = F.when(F.col(name) == n, F.struct(rank.alias("r"), F.col(value).alias("v")))
+        ordered = F.filter(F.array_sort(F.collect_list(hit)), lambda x: x["v"].isNotNull())
+        return F.array_join(F.transform(ordered, lambda x: x["v"].cast("string")), sep)
+
     wide = df.groupBy(*ids).agg(*[cell(n).alias(n) for n in names])
     return wide.select(*ids, *[F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
 
