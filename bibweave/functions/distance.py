@@ -6,9 +6,16 @@ narrowed down with the native ``levenshtein``.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F, types as T
 
+# The two functions travel to the workers with the query, so the package need
+# not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def osa(a: str, b: str) -> int:
     """Optimal string alignment distance (adjacent transpositions cost one)."""

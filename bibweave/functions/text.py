@@ -64,13 +64,14 @@ def shorten(col: Column, width: int = 25) -> Column:
 
 
 def tidy_html(col: Column) -> Column:
-    """Text of an HTML fragment: markup removed, entities decoded."""
+    """Text of an HTML fragment: markup removed, entities decoded. A text with
+    neither is passed through untouched."""
     out = F.regexp_replace(col, r"(?is)<(script|style)\b.*?</\1\s*>", "")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", "")
     out = F.regexp_replace(out, r"(?s)<[^>]*>", "")
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    return F.when(col.contains("<") | col.contains("&"), out).otherwise(col)
 
 
 def tidy_xml(col: Column, cdata: bool = False, ampersand_first: bool = False) -> Column:

@@ -18,6 +18,7 @@ from bibweave.functions.distance import jaro_winkler_similarity, levenshtein_sim
 from bibweave.functions.nulls import nullsafe_join
 from bibweave.operators.groups import counts, first_row
 from bibweave.operators.setops import stack
+from bibweave.session import spread
 
 c = F.col
 HOT_PAIRS = 1_000_000
@@ -31,43 +32,45 @@ def _segment(n: Column, i: Column, k: int) -> tuple[Column, Column]:
     return i * (base + 1) + F.least(i, extra) + 1, base + (i < extra).cast("int")
 
 
+def _key(n: Column, i: Column, text: Column) -> Column:
+    """Join key of a segment. A chance collision only adds a pair to test."""
+    return F.xxhash64(n, i, text)
+
+
 def _indexed_keys(title: str, k: int) -> Column:
     """Segment keys of the indexed side; short texts are keyed by length only."""
     n = F.length(title)
 
     def key(i: Column) -> Column:
         start, size = _segment(n, i, k)
-        return F.struct(n.alias("n"), i.alias("i"), F.substr(c(title), start, size).alias("s"))
+        return _key(n, i, F.substr(c(title), start, size))
 
-    whole = F.array(F.struct(n.alias("n"), F.lit(-1).alias("i"), F.lit("").alias("s")))
     cut = F.transform(F.sequence(F.lit(0), F.lit(k)), key)
-    return F.when(n > 2 * k, cut).otherwise(whole)
+    return F.when(n > 2 * k, cut).otherwise(F.array(_key(n, F.lit(-1), F.lit(""))))
 
 
 def _probe_keys(title: str, k: int) -> Column:
     """All keys under which a partner within ``k`` edits may be indexed."""
     size = F.length(title)
-    plan = [
-        (i, longer, shift)
+    plan = ", ".join(
+        f"named_struct('i', {i}, 'm', {longer}, 't', {shift})"
         for longer in range(-k, k + 1)
         for shift in range(-k, k + 1)
         if abs(shift) + abs(longer - shift) <= k
         for i in range(k + 1)
-    ]
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("m"), F.lit(t).alias("t")) for i, m, t in plan])
+    )
+    steps = F.expr(f"array({plan})")
 
     def key(p: Column) -> Column:
         n = size - p["m"]
         start, width = _segment(n, p["i"], k)
         at = start + p["t"]
         fits = (n > 2 * k) & (at >= 1) & (at + width - 1 <= size)
-        return F.when(fits, F.struct(n.alias("n"), p["i"].alias("i"), F.substr(c(title), at, width).alias("s")))
+        return F.when(fits, _key(n, p["i"], F.substr(c(title), at, width)))
 
-    short = F.array(
-        *[
-            F.when((size - m <= 2 * k) & (size - m >= 0), F.struct((size - m).alias("n"), F.lit(-1).alias("i"), F.lit("").alias("s")))
-            for m in range(-k, k + 1)
-        ]
+    short = F.transform(
+        F.sequence(F.lit(-k), F.lit(k)),
+        lambda m: F.when((size - m <= 2 * k) & (size - m >= 0), _key(size - m, F.lit(-1), F.lit(""))),
     )
     return F.array_distinct(F.array_compact(F.concat(F.transform(steps, key), short)))
 
@@ -89,17 +92,19 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, title: str, k: int, hot_pairs
     this splits the group and loses no pair. The distance test is part of the
     join, so only near pairs leave it.
     """
-    a = left.where(c(title).isNotNull()).select(c(title).alias("a")).distinct()
-    b = right.where(c(title).isNotNull()).select(c(title).alias("b")).distinct()
-    probe = a.withColumn("key", F.explode(_probe_keys("a", k))).select("a", "key.*")
-    index = b.withColumn("key", F.explode(_indexed_keys("b", k))).select("b", "key.*")
-    keys = ["n", "i", "s"]
+    a = spread(left.where(c(title).isNotNull()).select(c(title).alias("a")).distinct(), "a")
+    b = spread(right.where(c(title).isNotNull()).select(c(title).alias("b")).distinct(), "b")
+    probe = a.withColumn("key", F.explode(_probe_keys("a", k)))
+    index = b.withColumn("key", F.explode(_indexed_keys("b", k)))
+    keys = ["key"]
     size_a, size_b = counts(probe, keys, "na"), counts(index, keys, "nb")
     hot = size_a.join(size_b, keys).where(c("na") * c("nb") > hot_pairs).select(*keys, F.lit(True).alias("hot"))
-    offsets = [(x, y) for x in range(-k, k + 1) for y in range(-k, k + 1) if abs(x) + abs(y) <= 2 * k]
     pa, qa = _profile("a")
     pb, qb = _profile("b")
-    near = F.array(*[F.struct((pa + x).alias("p"), (qa + y).alias("q")) for x, y in offsets])
+    offsets = ", ".join(
+        f"named_struct('x', {x}, 'y', {y})" for x in range(-k, k + 1) for y in range(-k, k + 1) if abs(x) + abs(y) <= 2 * k
+    )
+    near = F.transform(F.expr(f"array({offsets})"), lambda o: F.struct((pa + o["x"]).alias("p"), (qa + o["y"]).alias("q")))
     none = F.array(F.struct(F.lit(-1).alias("p"), F.lit(-1).alias("q")))
     own = F.array(F.struct(pb.alias("p"), qb.alias("q")))
     split = lambda t, mine: (
@@ -107,9 +112,11 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, title: str, k: int, hot_pairs
         .withColumns({"p": c("x.p"), "q": c("x.q")}).drop("x", "hot")
     )
     close = F.levenshtein("a", "b", 2 * k) >= 0
-    pairs = split(probe, near).join(split(index, own), [*keys, "p", "q"]).where(close).select("a", "b").distinct()
+    pairs = split(probe, near).join(split(index, own), [*keys, "p", "q"]).where(close).select("a", "b")
+    # scored before the repetitions are removed: they are few, and the filter
+    # would otherwise be pushed down and make the function run twice
     scored = pairs.withColumn("osa_dist", osa_distance(c("a"), c("b"))).where(c("osa_dist") <= k)
-    return scored.select(c("a").alias("left_title"), c("b").alias("right_title"), "osa_dist")
+    return scored.select(c("a").alias("left_title"), c("b").alias("right_title"), "osa_dist").distinct()
 
 
 def title_links(left: DataFrame, right: DataFrame, title: str = "title", id_col: str = "id", k: int = 3) -> DataFrame:
@@ -187,8 +194,8 @@ def best_matches(left: DataFrame, right: DataFrame, name: str, max_distance: flo
     """
     floor_jaro = (1 - max_distance - 0.4) / 0.6
     share = 3 * floor_jaro - 1  # m/|a| + m/|b| is at least this much
-    a = left.where(F.length(name) > 0).select(c(name).alias("a")).distinct().withColumn("ua", F.upper("a"))
-    b = right.where(F.length(name) > 0).select(c(name).alias("b")).distinct().withColumn("ub", F.upper("b"))
+    a = spread(left.where(F.length(name) > 0).select(c(name).alias("a")).distinct(), "a").withColumn("ua", F.upper("a"))
+    b = spread(right.where(F.length(name) > 0).select(c(name).alias("b")).distinct(), "b").withColumn("ub", F.upper("b"))
 
     def prefixed(t: DataFrame, text: str) -> DataFrame:
         n = F.length(text)
@@ -201,6 +208,7 @@ def best_matches(left: DataFrame, right: DataFrame, name: str, max_distance: flo
     la, lb = F.length("ua"), F.length("ub")
     fits = (F.least(la, lb) / F.greatest(la, lb)) >= (share - 1) - 1e-9
     pairs = prefixed(a, "ua").join(prefixed(b, "ub"), "token").where(fits).select("a", "ua", "b", "ub").distinct()
+    pairs = spread(pairs, "a", "b")
     near = pairs.withColumn("distance", 1 - jaro_winkler_similarity(c("ua"), c("ub"))).where(
         c("distance") <= max_distance + 1e-12
     )

@@ -231,8 +231,13 @@ OPTIONS = {"attributePrefix": "@", "valueTag": "#", "columnNameOfCorruptRecord":
 
 
 def parse(records: DataFrame, doc: str = "mods") -> DataFrame:
-    """Records as structs with their numeric id; unreadable ones are left out."""
-    m = records.select("*", F.from_xml(c(doc), SCHEMA, OPTIONS).alias("m")).where(c("m").isNotNull() & c("m.__bad").isNull())
+    """Records as structs with their numeric id; unreadable ones are left out.
+
+    The parsed struct is passed through a one-element explode, so the optimizer
+    cannot copy the expensive parse into the filter and every later use.
+    """
+    struct = F.explode(F.array(F.from_xml(c(doc), SCHEMA, OPTIONS))).alias("m")
+    m = records.select("*", struct).where(c("m").isNotNull() & c("m.__bad").isNull())
     pid = F.regexp_replace("m.recordInfo.recordIdentifier", "^.*?:", "").try_cast("int")
     return m.withColumn("pid", pid)
 

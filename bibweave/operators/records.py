@@ -21,6 +21,12 @@ def listed(json_text: Column, element: str) -> Column:
     return F.from_json(wrapped, f"array<{element}>")
 
 
+def once(col: Column) -> Column:
+    """Pass an expensive parse through a one-element explode, so the optimizer
+    keeps one evaluation per row instead of one per use."""
+    return F.explode(F.array(col))
+
+
 # --- tagged citation records ------------------------------------------------------
 
 NUMERIC_PARTS = ("_count", "year_published", "volume", "pubmed_id")
@@ -95,7 +101,7 @@ def search_entries(df: DataFrame, json: str = "json") -> dict[str, DataFrame]:
     the publications table only.
     """
     schema = ", ".join(f"`{f}` string" for f in [*ENTRY_FIELDS, "author", "affiliation"])
-    entry = df.select(F.from_json(json, schema).alias("e")).select("e.*").withColumn("sid", c("`dc:identifier`"))
+    entry = df.select(once(F.from_json(json, schema)).alias("e")).select("e.*").withColumn("sid", c("`dc:identifier`"))
     isbn = F.array_join(F.transform(listed(c("`prism:isbn`"), _VALUE), lambda x: x["$"]), " ")
     scalars = [c(f"`{f}`") if f != "prism:isbn" else isbn.alias(f) for f in ENTRY_FIELDS]
     people = entry.select("sid", F.explode(listed(c("author"), _ENTRY_AUTHOR)).alias("a"))
@@ -123,7 +129,20 @@ _PLACE = (
     "struct<`@afid`:string,`@country`:string,organization:string,`ce:source-text`:string,`ce:text`:string,"
     "`$`:string,`address-part`:string>"
 )
-_HEAD = "$.abstracts-retrieval-response.item.bibrecord.head"
+_DAY = "struct<`@year`:string,`@month`:string,`@day`:string>"
+_EVENT = (
+    "struct<confname:string,conflocation:struct<city:string,`@country`:string>,"
+    f"confdate:struct<startdate:{_DAY},enddate:{_DAY}>>"
+)
+# author groups, correspondence and keywords may be one object or an array, so
+# they are kept as text at first
+_ABSTRACT = (
+    "`abstracts-retrieval-response` struct<item:struct<bibrecord:struct<head:struct<`author-group`:string,"
+    f"correspondence:string,`citation-info`:struct<`author-keywords`:struct<`author-keyword`:string>>,"
+    f"source:struct<issuetitle:string,`additional-srcinfo`:struct<conferenceinfo:struct<confevent:{_EVENT}>>>>>>,"
+    "coredata:struct<`dc:publisher`:string,`prism:coverDate`:string,subtype:string,`prism:startingPage`:string,"
+    "`prism:endingPage`:string,`dc:description`:string>,language:struct<`@xml:lang`:string>>"
+)
 
 
 def _texts(col: Column) -> Column:
@@ -153,8 +172,9 @@ def raw_organisation(place: Column) -> Column:
 
 def extended_abstracts(df: DataFrame, json: str = "json", sid: str = "sid") -> dict[str, DataFrame]:
     """Abstract, author groups, correspondence and conference data of a record."""
-    at = lambda path: F.get_json_object(c(json), path)
-    groups = df.select(sid, F.posexplode(listed(at(f"{_HEAD}.author-group"), _GROUP)).alias("id", "g"))
+    root = df.select(sid, once(F.from_json(json, _ABSTRACT)).alias("j")).select(sid, "j.abstracts-retrieval-response.*")
+    head = root.select(sid, "item.bibrecord.head.*")
+    groups = head.select(sid, F.posexplode(listed(c("`author-group`"), _GROUP)).alias("id", "g"))
     people = groups.select(sid, "id", F.explode(listed(c("g.author"), _GROUP_AUTHOR)).alias("a"))
     authors = people.select(
         sid, "id", c("a.`@seq`").try_cast("int").alias("seq"), c("a.`@auid`").alias("auid"),
@@ -165,27 +185,27 @@ def extended_abstracts(df: DataFrame, json: str = "json", sid: str = "sid") -> d
         sid, "id", c("p.`@afid`").alias("afid"), c("p.`@country`").alias("country3"),
         raw_organisation(c("p")).alias("raw_org"),
     )
-    core = "$.abstracts-retrieval-response.coredata"
-    keywords = F.array_join(F.transform(listed(at(f"{_HEAD}.citation-info.author-keywords.author-keyword"), _VALUE), lambda x: x["$"]), ", ")
-    abstract = df.select(
-        sid, at(f"{core}['dc:publisher']").alias("dc_publisher"), at(f"{core}['prism:coverDate']").alias("prism_coverDate"),
-        at(f"{core}['subtype']").alias("subtype"), at(f"{core}['prism:startingPage']").alias("prism_startingPage"),
-        at(f"{core}['prism:endingPage']").alias("prism_endingPage"),
-        tidy_xml(at(f"{core}['dc:description']")).alias("dc_description"),
-        F.coalesce(at("$.abstracts-retrieval-response.language['@xml:lang']"), F.lit("eng")).alias("lang"),
-        F.nullif(keywords, F.lit("")).alias("keywords"),
+    keyword = listed(c("item.bibrecord.head.`citation-info`.`author-keywords`.`author-keyword`"), _VALUE)
+    core = lambda n: c(f"coredata.`{n}`")
+    abstract = root.select(
+        sid, core("dc:publisher").alias("dc_publisher"), core("prism:coverDate").alias("prism_coverDate"), core("subtype"),
+        core("prism:startingPage").alias("prism_startingPage"), core("prism:endingPage").alias("prism_endingPage"),
+        tidy_xml(core("dc:description")).alias("dc_description"),
+        F.coalesce("language.`@xml:lang`", F.lit("eng")).alias("lang"),
+        F.nullif(F.array_join(F.transform(keyword, lambda x: x["$"]), ", "), F.lit("")).alias("keywords"),
     )
     person = "struct<person:struct<`ce:surname`:string,`ce:given-name`:string,`ce:initials`:string>>"
-    letters = df.select(sid, F.explode(listed(at(f"{_HEAD}.correspondence"), person)).alias("x"))
-    event = f"{_HEAD}.source.additional-srcinfo.conferenceinfo.confevent"
-    day = lambda end: safe_date(*[at(f"{event}.confdate.{end}['@{p}']") for p in ("year", "month", "day")])
-    conference = df.where(at(f"{core}['subtype']") == "cp").select(
-        sid, at(f"{_HEAD}.source.issuetitle").alias("conf_title"),
+    letters = head.select(sid, F.explode(listed(c("correspondence"), person)).alias("x"))
+    source = "item.bibrecord.head.source"
+    event = f"{source}.`additional-srcinfo`.conferenceinfo.confevent"
+    day = lambda end: safe_date(*[c(f"{event}.confdate.{end}.`@{p}`") for p in ("year", "month", "day")])
+    conference = root.where(core("subtype") == "cp").select(
+        sid, c(f"{source}.issuetitle").alias("conf_title"),
         conference_details(
-            at(f"{event}.confname"), at(f"{event}.conflocation.city"), at(f"{event}.conflocation['@country']"),
+            c(f"{event}.confname"), c(f"{event}.conflocation.city"), c(f"{event}.conflocation.`@country`"),
             day("startdate"), day("enddate"),
         ).alias("conf_details"),
-        at(f"{core}['prism:startingPage']").alias("conf_ext_start"), at(f"{core}['prism:endingPage']").alias("conf_ext_end"),
+        core("prism:startingPage").alias("conf_ext_start"), core("prism:endingPage").alias("conf_ext_end"),
     )
     return {
         "abstract": abstract,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from bibweave.functions.text import first_words, match_text
+from bibweave.session import cut_lineage
 
 c = F.col
 
@@ -31,15 +32,18 @@ def query_terms(queries: DataFrame, key: str, text: str, n_words: int = 4) -> Da
 
 
 def search(corpus: DataFrame, doc: str, text: str, terms: DataFrame, near: int = NEAR) -> DataFrame:
-    """(query, doc, score) of all matches. ``terms`` has (query, idx, term)."""
+    """(query, doc, score) of all matches. ``terms`` has (query, idx, term).
+
+    Runs one job: the occurrences of the query words are written to the shared
+    folder, because four later steps read them and reading texts is the cost.
+    """
     spread = near + 1
-    texts = corpus.select(c(doc).alias("doc"), tokens(c(text)).alias("words"))
+    texts = corpus.select(c(doc).alias("doc"), F.explode(F.array(tokens(c(text)))).alias("words"))
     size = texts.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("words")).alias("avg_len"))
     wanted = terms.select("query", "term").distinct()
     vocabulary = wanted.select("term").distinct()
-    occurrences = texts.select("doc", F.size("words").alias("len"), F.posexplode("words").alias("pos", "term")).join(
-        vocabulary, "term", "left_semi"
-    )
+    placed = texts.select("doc", F.size("words").alias("len"), F.posexplode("words").alias("pos", "term"))
+    occurrences = cut_lineage(placed.join(vocabulary, "term", "left_semi"), "occurrences")
     in_docs = occurrences.select("term", "doc").distinct()
     frequency = in_docs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     known = wanted.join(frequency, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))

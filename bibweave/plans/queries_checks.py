@@ -11,6 +11,7 @@ from bibweave.operators.names import parse_records
 from bibweave.plans.bindings import AS_OF, bound, with_bound
 from bibweave.plans.check_run import OTHER, STANDARD, CheckRun
 from bibweave.plans.registry import query, table
+from bibweave.session import spread
 
 SINCE = dt.date(1999, 1, 1)
 
@@ -294,8 +295,9 @@ def _name_strings(spark, d):
     place = F.when(F.col("l_suppkey") % 3 == 1, F.format_string(" (Home [1], Unit; x (sub) [%d])", F.col("l_suppkey"))
                    ).when(F.col("l_suppkey") % 3 == 2, F.lit(" (Ext Univ; City (A))")).otherwise(F.lit(""))
     named = li.select("PID", F.struct("l_suppkey", F.concat(person, place).alias("t")).alias("x"))
-    return named.groupBy("PID").agg(
+    joined = named.groupBy("PID").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), ";").alias("Name"))
+    return spread(joined, "PID")
 
 
 @query("q27_unicode_identifiers", with_bound("pubs", "authors", sql="""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bibweave.operators import mods, ordered, records as r
 from bibweave.plans.bindings import bound, with_bound
 from bibweave.plans.registry import query, table
+from bibweave.session import spread
 from bibweave.sources.collections import collections
 
 c = F.col
@@ -195,8 +196,9 @@ def n16_persons(spark, d):
 
 
 def _mods_texts(spark, d):
-    """One full record per order."""
-    o = table(spark, d, "orders")
+    """One full record per order. The keys are small and the texts long, so the
+    keys are spread before the texts are made."""
+    o = spread(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     k, cu = c("o_orderkey").cast("string"), c("o_custkey").cast("string")
     e = lambda text: F.lit(text)
     odd = c("o_orderkey") % 2 == 1
@@ -267,7 +269,7 @@ OWN = "own university"
 
 
 def _rendered(spark, d):
-    o = table(spark, d, "orders")
+    o = spread(table(spark, d, "orders"), "o_orderkey")
     k, cu = c("o_orderkey").cast("string"), c("o_custkey").cast("string")
     genre = F.when(c("o_orderstatus") == "F", "article").when(c("o_orderstatus") == "P", "conferencePaperPublished").otherwise("chapter")
     recs = o.select(
@@ -304,12 +306,15 @@ CASE WHEN o_orderstatus = 'F' THEN 'article' WHEN o_orderstatus = 'P' THEN 'conf
 CASE WHEN o_orderstatus <> 'F' THEN 'Part of ISBN 978 979' END AS isbn_note, CASE WHEN n >= 4 THEN CAST(n AS VARCHAR) END AS creator_count, concat('x  < ', o_orderkey) AS abstract,
 CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN concat('Conf ', o_orderkey) END AS conference FROM orders LEFT JOIN n ON sid = o_orderkey""")
 def x11_records(spark, d):
-    doc = _rendered(spark, d)[1]
-    x = lambda p: F.get(F.xpath("mods", F.lit(p + "/text()")), 0)
-    return doc.select(
-        "sid", x("/mods/titleInfo/title").alias("title"), x("//identifier[@type='doi']").alias("doi"), x("//genre[@type='publicationTypeCode']").alias("code"),
-        x("//note[starts-with(text(), 'Part of ISBN')]").alias("isbn_note"), x("//note[@type='creatorCount']").alias("creator_count"), x("/mods/abstract").alias("abstract"),
-        x("//name[@type='conference']/namePart").alias("conference"))
+    rec = mods.parse(_rendered(spark, d)[1])
+    first = lambda field, test: F.get(F.filter(f"m.{field}", test), 0)
+    conference = first("name", lambda n: n["@type"] == "conference")
+    return rec.select(
+        "sid", F.get("m.titleInfo", 0)["title"].alias("title"), first("identifier", lambda i: i["@type"] == "doi")["#"].alias("doi"),
+        first("genre", lambda g: g["@type"] == "publicationTypeCode")["#"].alias("code"),
+        first("note", lambda n: n["#"].startswith("Part of ISBN"))["#"].alias("isbn_note"),
+        first("note", lambda n: n["@type"] == "creatorCount")["#"].alias("creator_count"), F.get("m.abstract", 0)["#"].alias("abstract"),
+        F.get(conference["namePart"], 0)["#"].alias("conference"))
 
 
 @query("x11_failures", """SELECT o_orderkey AS sid FROM orders WHERE o_orderstatus = 'P' UNION SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'""")

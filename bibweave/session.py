@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cores: str = "*", app: str = "bibweave") -> SparkSession:
@@ -15,6 +15,8 @@ def local_session(cores: str = "*", app: str = "bibweave") -> SparkSession:
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # small test tables: keep several tasks where a cluster would have thousands
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
@@ -54,3 +56,15 @@ def cut_lineage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     path = run_dir(df.sparkSession, purpose)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Divide rows over the session's number of shuffle partitions.
+
+    For rows that are few in bytes but costly to work on: adaptive execution
+    merges small shuffle partitions, a stated number it leaves alone. The hash
+    of a hash differs from the partitioning the rows may already have, so the
+    step is not taken for a repetition and removed.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, F.xxhash64(*columns))
