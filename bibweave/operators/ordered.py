@@ -54,7 +54,7 @@ def running_total(df: DataFrame, value: str, order: list[str], chunk: Column, ke
     offsets = sums.select(*keys, CHUNK, F.coalesce(F.sum("__s").over(earlier), F.lit(0)).alias("__off"))
     out = nullsafe_join(cut, offsets, [*keys, CHUNK])
     local = F.sum(value).over(inside.rowsBetween(W.unboundedPreceding, 0))
-    return out.withColumn(name, local + F.col("__off")).drop(CHUNK, "__off")
+    return out.withColumn(name, F.coalesce(local, F.lit(0)) + F.col("__off")).drop(CHUNK, "__off")
 
 
 def fill_down(df: DataFrame, value: str, order: list[str], chunk: Column, keys: list[str] = (), name: str | None = None) -> DataFrame:
