@@ -46,10 +46,14 @@ def valid_on_days(df: DataFrame, days: DataFrame, day: str, beg: str, end: str,
 
     Both sides are put into buckets of ``width`` days, so the join is an equi
     join on the bucket with the exact test on top; a calendar day lies in one
-    bucket, hence no pair is found twice.
+    bucket, hence no pair is found twice. Open-ended intervals are cut to the
+    calendar's span first, so they do not spread over centuries.
     """
+    first, last = days.agg(F.min(day)).scalar(), days.agg(F.max(day)).scalar()
     number = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / width)
-    left = df.withColumn("__b", F.explode(F.sequence(number(F.col(beg)), number(F.col(end)))))
+    inside = df.where((F.col(beg) <= F.col(end)) & (F.col(beg) <= last) & (F.col(end) >= first))
+    spans = F.sequence(number(F.greatest(F.col(beg), first)), number(F.least(F.col(end), last)))
+    left = inside.withColumn("__b", F.explode(spans))
     right = days.select(day, number(F.col(day)).alias("__b"))
     return left.join(right, "__b").where(F.col(day).between(F.col(beg), F.col(end))).drop("__b")
 

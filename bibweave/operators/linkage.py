@@ -180,7 +180,7 @@ def _tokens(text: Column) -> Column:
             x.alias("ch"),
         ),
     )
-    return F.array_sort(numbered)
+    return F.transform(F.array_sort(numbered), lambda x: F.concat(x["ch"], x["o"].cast("string")))
 
 
 def best_matches(left: DataFrame, right: DataFrame, name: str, max_distance: float = 0.1) -> DataFrame:
@@ -197,18 +197,19 @@ def best_matches(left: DataFrame, right: DataFrame, name: str, max_distance: flo
     a = spread(left.where(F.length(name) > 0).select(c(name).alias("a")).distinct(), "a").withColumn("ua", F.upper("a"))
     b = spread(right.where(F.length(name) > 0).select(c(name).alias("b")).distinct(), "b").withColumn("ub", F.upper("b"))
 
-    def prefixed(t: DataFrame, text: str) -> DataFrame:
+    def prefixed(t: DataFrame, text: str, tokens: str) -> DataFrame:
         n = F.length(text)
         # fewest characters to share: the partner is at its shortest, n * (share - 1)
         least = F.ceil(F.lit(share) * n * (n * (share - 1)) / (n + n * (share - 1)) - 1e-9)
-        kept = (n - least + 1).cast("int")
-        head = F.slice(_tokens(c(text)), F.lit(1), F.greatest(kept, F.lit(1)))
-        return t.withColumn("token", F.explode(F.transform(head, lambda x: F.concat(x["ch"], x["o"].cast("string")))))
+        head = F.slice(c(tokens), F.lit(1), F.greatest((n - least + 1).cast("int"), F.lit(1)))
+        return t.withColumn(tokens, _tokens(c(text))).withColumn("token", F.explode(head))
 
     la, lb = F.length("ua"), F.length("ub")
-    fits = (F.least(la, lb) / F.greatest(la, lb)) >= (share - 1) - 1e-9
-    pairs = prefixed(a, "ua").join(prefixed(b, "ub"), "token").where(fits).select("a", "ua", "b", "ub").distinct()
-    pairs = spread(pairs, "a", "b")
+    common = F.array_intersect("ta", "tb")
+    # part of the join: enough shared characters, and each pair at its first
+    # shared token only, so no pair is made twice and no far pair is made at all
+    fits = (F.size(common) * (1 / la + 1 / lb) >= share - 1e-9) & (F.get(common, 0) == c("token"))
+    pairs = prefixed(a, "ua", "ta").join(prefixed(b, "ub", "tb"), "token").where(fits).select("a", "ua", "b", "ub")
     near = pairs.withColumn("distance", 1 - jaro_winkler_similarity(c("ua"), c("ub"))).where(
         c("distance") <= max_distance + 1e-12
     )
