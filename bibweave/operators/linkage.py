@@ -49,30 +49,29 @@ def _indexed_keys(title: str, k: int) -> Column:
     return F.when(n > 2 * k, cut).otherwise(F.array(_key(n, F.lit(-1), F.lit(""))))
 
 
-def _probe_keys(title: str, k: int) -> Column:
-    """All keys under which a partner within ``k`` edits may be indexed."""
-    size = F.length(title)
-    plan = ", ".join(
-        f"named_struct('i', {i}, 'm', {longer}, 't', {shift})"
+def _probed(texts: DataFrame, title: str, k: int) -> DataFrame:
+    """Rows with every key under which a partner within ``k`` edits may be indexed.
+
+    The steps are exploded as rows, so the keys are plain compiled expressions.
+    A repeated key only repeats a pair, which is removed at the end."""
+    steps = [
+        (i, longer, shift)
         for longer in range(-k, k + 1)
         for shift in range(-k, k + 1)
         if abs(shift) + abs(longer - shift) <= k
         for i in range(k + 1)
-    )
-    steps = F.expr(f"array({plan})")
-
-    def key(p: Column) -> Column:
-        n = size - p["m"]
-        start, width = _segment(n, p["i"], k)
-        at = start + p["t"]
-        fits = (n > 2 * k) & (at >= 1) & (at + width - 1 <= size)
-        return F.when(fits, _key(n, p["i"], F.substr(c(title), at, width)))
-
-    short = F.transform(
-        F.sequence(F.lit(-k), F.lit(k)),
-        lambda m: F.when((size - m <= 2 * k) & (size - m >= 0), _key(size - m, F.lit(-1), F.lit(""))),
-    )
-    return F.array_distinct(F.array_compact(F.concat(F.transform(steps, key), short)))
+    ]
+    steps += [(-1, longer, 0) for longer in range(-k, k + 1)]
+    listed = ", ".join(f"named_struct('i', {i}, 'm', {m}, 't', {t})" for i, m, t in steps)
+    rows = texts.withColumn("__p", F.explode(F.expr(f"array({listed})")))
+    size = F.length(title)
+    i, n = c("__p.i"), size - c("__p.m")
+    start, width = _segment(n, i, k)
+    at = start + c("__p.t")
+    whole = F.when((n >= 0) & (n <= 2 * k), _key(n, i, F.lit("")))
+    fits = (n > 2 * k) & (at >= 1) & (at + width - 1 <= size)
+    cut = F.when(fits, _key(n, i, F.substr(c(title), at, width)))
+    return rows.withColumn("key", F.when(i < 0, whole).otherwise(cut)).drop("__p")
 
 
 def _profile(title: str) -> list[Column]:
@@ -94,7 +93,7 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, title: str, k: int, hot_pairs
     """
     a = spread(left.where(c(title).isNotNull()).select(c(title).alias("a")).distinct(), "a")
     b = spread(right.where(c(title).isNotNull()).select(c(title).alias("b")).distinct(), "b")
-    probe = a.withColumn("key", F.explode(_probe_keys("a", k)))
+    probe = _probed(a, "a", k)
     index = b.withColumn("key", F.explode(_indexed_keys("b", k)))
     keys = ["key"]
     size_a, size_b = counts(probe, keys, "na"), counts(index, keys, "nb")

@@ -9,7 +9,7 @@ from bibweave.functions.text import clean_organisation, tidy_html, tidy_xml
 from bibweave.operators.groups import separator_hits
 from bibweave.operators.joins import with_parent
 from bibweave.operators.ordered import fill_down, neighbour
-from bibweave.operators.reshape import flatten, split_columns, tidy_names, wider
+from bibweave.operators.reshape import flatten, record_columns, split_columns, tidy_names
 
 c = F.col
 
@@ -265,10 +265,9 @@ def labelled_values(leaves: DataFrame, key: str) -> DataFrame:
 
 def portal_organisations(labelled: DataFrame) -> DataFrame:
     """Organisation rows: names in two languages, parent, closing date, time stamps."""
-    wide = wider(
-        labelled, ["id"], "nme", "val",
+    wide = record_columns(
+        labelled, "id", "nme", "val", "node",
         ["name", "organisationType", "organisationCode", "closedDate", "linkedRecordId", "tsCreated", "tsUpdated"],
-        order="node",
     )
     numbers = F.regexp_extract_all("linkedRecordId", F.lit(r"(\d+)"), F.lit(1))
     named = split_columns(wide, "name", ["unit_sv", "unit_en"])
@@ -282,10 +281,9 @@ def portal_organisations(labelled: DataFrame) -> DataFrame:
 
 def portal_persons(labelled: DataFrame) -> DataFrame:
     """Person rows, one per combination of given and family name variants."""
-    wide = wider(
-        labelled, ["id"], "nme", "val",
+    wide = record_columns(
+        labelled, "id", "nme", "val", "node",
         ["givenName", "familyName", "public", "domain", "ORCID_ID", "academicTitle", "URL", "tsCreated"],
-        order="node",
     )
     pairs = wide.withColumn("given", F.explode_outer(F.split("givenName", r"\|"))).withColumn(
         "family", F.explode_outer(F.split("familyName", r"\|"))
@@ -317,7 +315,7 @@ def registry_prefixes(df: DataFrame, json: str = "json") -> DataFrame:
 def work_assertions(df: DataFrame, names: list[str], json: str = "json", doi: str = "doi") -> DataFrame:
     """Assertion names as columns, one row per work."""
     rows = df.select(doi, F.explode(listed(F.get_json_object(json, "$.message.assertion"), "struct<name:string,value:string>")).alias("x"))
-    return wider(rows.select(doi, "x.name", "x.value"), [doi], "name", "value", names)
+    return record_columns(rows.select(doi, "x.name", "x.value"), doi, "name", "value", "value", names)
 
 
 def work_events(df: DataFrame, json: str = "json", doi: str = "doi") -> DataFrame:

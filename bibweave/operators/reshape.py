@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from bibweave.operators.groups import presence, with_piece
+
 
 def pick(df: DataFrame, first: list[str], rest: bool = False) -> DataFrame:
     """Project columns in the given order; names the table lacks are ignored.
@@ -54,22 +56,38 @@ def longer(df: DataFrame, ids: list[str], values: list[str], name: str = "name",
     return df.unpivot(ids, values, name, value)
 
 
-def wider(
-    df: DataFrame, ids: list[str], name: str, value: str, names: list[str], sep: str = "|", order: str | None = None
-) -> DataFrame:
-    """Names to columns; several values of one cell are joined in order of
-    ``order``, or of the values themselves.
+def wider(df: DataFrame, ids: list[str], name: str, value: str, names: list[str], sep: str = "|") -> DataFrame:
+    """Names to columns; several values of one cell are joined in value order.
 
-    The names are given, so no job is needed to discover them."""
-    rank = F.col(order or value)
+    The names are given, so no job is needed to discover them. Repeated values
+    are counted before the shuffle, and a key with very many values comes in
+    pieces, numbered by ``piece``, like any collapsed group.
+    """
+    cells = (
+        df.where(F.col(name).isin(names) & F.col(value).isNotNull())
+        .groupBy(*ids, name, value)
+        .agg(F.count(F.lit(1)).cast("int").alias("__times"))
+    )
 
     def cell(n: str) -> Column:
-        hit = F.when(F.col(name) == n, F.struct(rank.alias("r"), F.col(value).alias("v")))
-        ordered = F.filter(F.array_sort(F.collect_list(hit)), lambda x: x["v"].isNotNull())
-        return F.array_join(F.transform(ordered, lambda x: x["v"].cast("string")), sep)
+        hit = F.when(F.col(name) == n, F.struct(F.col(value).alias("v"), F.col("__times").alias("t")))
+        copies = F.transform(F.array_sort(F.collect_list(hit)), lambda x: F.array_repeat(x["v"].cast("string"), x["t"]))
+        return F.nullif(F.array_join(F.flatten(copies), sep), F.lit("")).alias(n)
+
+    return with_piece(cells, ids, value).groupBy(*ids, "piece").agg(*[cell(n) for n in names])
 
-    wide = df.groupBy(*ids).agg(*[cell(n).alias(n) for n in names])
-    return wide.select(*ids, *[F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
+
+def record_columns(df: DataFrame, key: str, name: str, value: str, order: str, names: list[str], sep: str = "|") -> DataFrame:
+    """Names to columns for the parts of single records, joined in part order.
+
+    A record's parts come out of one text, so they are few by nature."""
+
+    def cell(n: str) -> Column:
+        hit = F.when(F.col(name) == n, F.struct(F.col(order).alias("r"), F.col(value).alias("v")))
+        parts = F.transform(F.array_sort(F.collect_list(hit)), lambda x: x["v"].cast("string"))
+        return F.nullif(F.array_join(parts, sep), F.lit("")).alias(n)
+
+    return df.groupBy(key).agg(*[cell(n) for n in names])
 
 
 def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
@@ -116,8 +134,6 @@ def split_columns(df: DataFrame, column: str, into: list[str], sep: str = r"\|")
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
     """Drop columns without any value. Runs one aggregate to find them."""
-    from bibweave.operators.groups import presence
-
     seen = presence(df).first()
     return df.select(*[F.col(f"`{c}`") for c in df.columns if seen[c]])
 

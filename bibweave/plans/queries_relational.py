@@ -57,7 +57,7 @@ def p07(spark, d):
     return reshape.longer(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
 
 
-@query("p08_wider", """SELECT l_orderkey,
+@query("p08_wider", """SELECT l_orderkey, CAST(0 AS INT) AS piece,
 string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_partkey) FILTER (WHERE l_returnflag = 'A') AS "A",
 string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_partkey) FILTER (WHERE l_returnflag = 'N') AS "N",
 string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_partkey) FILTER (WHERE l_returnflag = 'R') AS "R"

@@ -150,3 +150,14 @@ def test_compare_pairs_is_linear(spark):
     b = spark.createDataFrame([("k", i + 25) for i in range(50)] + [("only", 1)], "k string, v int")
     n = {r.status: r["count"] for r in compare_pairs(a, b, "k", "v").groupBy("status").count().collect()}
     assert n == {"same": 25, "differs": 50, "right": 1}
+
+
+def test_wider_divides_a_hot_key_and_keeps_repetitions(spark):
+    from bibweave.operators.reshape import wider
+
+    df = spark.range(12000).select(F.lit("hot").alias("k"), F.when(c("id") % 2 == 0, "a").otherwise("b").alias("n"), c("id").alias("v"))
+    twice = df.unionByName(df.where(c("v") < 10))
+    rows = wider(twice, ["k"], "n", "v", ["a", "b"]).collect()
+    assert len(rows) > 1
+    values = sorted(int(x) for r in rows for cell in (r.a, r.b) if cell for x in cell.split("|"))
+    assert values == sorted([*range(12000), *range(10)])
