@@ -203,7 +203,7 @@ def _mods_texts(spark, d):
     e = lambda text: F.lit(text)
     odd = c("o_orderkey") % 2 == 1
     doc = F.concat(
-        e(mods.HEAD), e('<genre authority="diva" type="publicationTypeCode">article</genre><genre authority="svep">art</genre>'),
+        e(mods.HEAD), e('<genre authority="reg" type="publicationTypeCode">article</genre><genre authority="svep">art</genre>'),
         e('<name type="personal" authority="x" xlink:href="u1'), cu, e('"><namePart type="family">Fam'), cu, e('</namePart><namePart type="given">G</namePart><role><roleTerm type="code" authority="marcrelator">aut</roleTerm></role>'
           '<affiliation>Aff A'), cu, e('</affiliation><affiliation>Aff B</affiliation>'), F.when(odd, F.concat(e("<description>orcid.org="), k, e("</description>"))).otherwise(e("")), e("</name>"),
         e('<name type="corporate" xlink:href="'), cu, e('"><namePart>Org '), cu, e('</namePart><role><roleTerm type="code" authority="marcrelator">pbl</roleTerm></role><description>Group</description></name>'),
@@ -225,7 +225,7 @@ def _mods_texts(spark, d):
 
 _PID = "CAST(o_orderkey AS INT) AS pid"
 _EXPLODE = {
-    "genre": f"""SELECT {_PID}, 'article' AS "desc", 'diva' AS aut, 'publicationTypeCode' AS type, CAST(NULL AS VARCHAR) AS lang FROM orders UNION ALL SELECT o_orderkey, 'art', 'svep', NULL, NULL FROM orders""",
+    "genre": f"""SELECT {_PID}, 'article' AS "desc", 'reg' AS aut, 'publicationTypeCode' AS type, CAST(NULL AS VARCHAR) AS lang FROM orders UNION ALL SELECT o_orderkey, 'art', 'svep', NULL, NULL FROM orders""",
     "orgs": f"""SELECT {_PID}, CAST(2 AS INT) AS id, CAST(NULL AS VARCHAR) AS aut, CAST(o_custkey AS VARCHAR) AS href, 'pbl' AS role, concat('Org ', o_custkey) AS org, CAST(NULL AS VARCHAR) AS aff, 'Group' AS "desc" FROM orders""",
     "authors": f"""SELECT {_PID}, CAST(1 AS INT) AS id, 'x' AS aut, concat('u1', o_custkey) AS href, 'aut' AS role, concat('Fam', o_custkey) AS family, 'G' AS given, unnest([concat('Aff A', o_custkey), 'Aff B']) AS affiliation,
       CASE WHEN o_orderkey % 2 = 1 THEN concat('orcid.org=', o_orderkey) END AS description FROM orders""",

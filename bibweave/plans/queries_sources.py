@@ -65,14 +65,14 @@ def s04(spark, d):
     return spark.read.parquet(path)
 
 
-HR_NAMES = {"KTHID": "staffid", "BIRTH": "yob", "FIRST": "firstname", "LAST": "lastname", "BEG": "emp_beg", "END": "emp_end", "DEG": "emp_degree"}
+HR_NAMES = {"STAFF_NO": "staffid", "BIRTH": "yob", "FIRST": "firstname", "LAST": "lastname", "BEG": "emp_beg", "END": "emp_end", "DEG": "emp_degree"}
 
 
 def _staff_file(spark, d):
     o = table(spark, d, "orders")
     k = c("o_orderkey")
     raw = o.select(
-        F.concat(F.lit("u1"), k).alias("KTHID"), F.when(k % 7 == 0, "unknown").otherwise((1950 + k % 50).cast("string")).alias("BIRTH"),
+        F.concat(F.lit("u1"), k).alias("STAFF_NO"), F.when(k % 7 == 0, "unknown").otherwise((1950 + k % 50).cast("string")).alias("BIRTH"),
         F.lit("F").alias("FIRST"), F.lit("L").alias("LAST"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("BEG"), F.lit("9999-99-99").alias("END"),
         F.concat((k % 100).cast("string"), F.lit(",5")).alias("DEG"), F.lit("x").alias("OTHER"))
     return s.write_table(raw, run_dir(spark, "staff"))
