@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from bibweave.llm.shared import Ranges, chosen, mixed
@@ -38,7 +39,7 @@ from bibweave.session import cut_lineage
 #: Bits of the broadcast set of repeated minimisers; fixed, whatever the input.
 SET_BITS = 1 << 27
 #: Strings in a segment, bytes of the hashed substrings, bytes of text taken at once, and bytes of a sorted collection.
-MOST, GRAM, TAKE, COLLECTION = 64, 48, 2_000_000, 2_000_000
+MOST, GRAM, TAKE, COLLECTION = 64, 48, 2_000_000, 4_000_000
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -131,14 +132,37 @@ def _marked(owners: int, bits: int):
     return run
 
 
-_SENT = "key long, kind boolean, bytes binary, doc long, start long, n int"
+#: Bytes of segments that a task gathers before it packs them by owner.
+PACK = 16_000_000
 
 
-def _sent(marks, length: int, gram: int, most: int):
-    """Marked segments, the first of equal ones in the run, with their bytes; the extents of the others, merged."""
+def _packed(owner: int, kind: bool, *columns: np.ndarray, tail: bytes = b"") -> pa.RecordBatch:
+    body = b"".join([np.array([len(columns[0])], "<u4").tobytes(), *(c.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns), tail])
+    return pa.RecordBatch.from_pydict({"owner": pa.array([owner], pa.int32()), "kind": [kind], "body": [zstandard.ZstdCompressor(level=3).compress(body)]})
+
+
+def _unpacked(body: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:
+    body = zstandard.ZstdDecompressor().decompress(body)
+    n = int(np.frombuffer(body, "<u4", 1)[0])
+    cut = lambda i: np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * n, 4 + 8 * n * i).reshape(8, n).T).view("<i8").ravel()
+    return [cut(i) for i in range(columns)], body[4 + 8 * n * columns :]
+
+
+def _sent(marks, owners: int, length: int, gram: int, most: int):
+    """Marked segments, the first of equal ones in the run, with their bytes; the extents of the others, merged. Packed by owner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = marks.value
+        table, held, strings, size = marks.value, [], [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            key, doc, start, n = (np.concatenate(x) for x in zip(*held))
+            owner = (mixed(key) % np.uint64(owners)).astype(np.int64)
+            order = np.argsort(owner, kind="stable")
+            cuts = np.flatnonzero(np.diff(owner[order], prepend=-1, append=owners))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = order[a:b]
+                yield _packed(int(owner[part[0]]), True, (key[part] >> np.uint64(40)).astype(np.int64), doc[part], start[part], n[part], tail=b"".join([strings[i] for i in part.tolist()]))
+
         for order, data, sizes in _taken(batches):
             key, begin, n, _ = segments(data, sizes, length, gram, most)
             slot = (key % np.uint64(len(table) * 8)).astype(np.int64)
@@ -155,18 +179,20 @@ def _sent(marks, length: int, gram: int, most: int):
             for i in np.lexsort((start, order[doc])).tolist():
                 late[i] = first.setdefault(parts[i], i) != i
             go, stay = np.flatnonzero(~late), np.flatnonzero(late)
-            yield pa.RecordBatch.from_pydict({
-                "key": pa.array(key[go].view(np.int64)), "kind": pa.array(np.ones(len(go), bool)), "bytes": pa.array([parts[i] for i in go.tolist()], pa.binary()),
-                "doc": pa.array(order[doc[go]]), "start": pa.array(start[go]), "n": pa.array(n[go].astype(np.int32)),
-            })
+            held.append((key[go], order[doc[go]], start[go], n[go]))
+            strings += [parts[i] for i in go.tolist()]
+            size += int(n[go].sum()) + len(go) * (length - 1)
             if len(stay):
-                a, b = joined(doc[stay], start[stay], start[stay] + n[stay] + length - 1)
-                d, a, b = a[:, 0], a[:, 1], b
-                none = pa.nulls(len(d), pa.binary())
-                yield pa.RecordBatch.from_pydict({
-                    "key": pa.array(mixed(order[d].astype(np.uint64)).view(np.int64)), "kind": pa.array(np.zeros(len(d), bool)), "bytes": none,
-                    "doc": pa.array(order[d]), "start": pa.array(a), "n": pa.array((b - a).astype(np.int32)),
-                })
+                heads, end = joined(doc[stay], start[stay], start[stay] + n[stay] + length - 1)
+                owner = (mixed(order[heads[:, 0]].astype(np.uint64)) % np.uint64(owners)).astype(np.int64)
+                for o in np.unique(owner):
+                    some = owner == o
+                    yield _packed(int(o), False, order[heads[some, 0]], heads[some, 1], end[some])
+            if size >= PACK:
+                yield from flush()
+                held, strings, size = [], [], 0
+        if held:
+            yield from flush()
 
     return run
 
@@ -311,13 +337,15 @@ def _resolved(length: int, collection: int):
         first: dict[bytes, tuple[int, int]] = {}
         keys: dict[int, list[bytes]] = {}
         for batch in batches:
-            kind = batch.column("kind").to_numpy(zero_copy_only=False)
-            key, doc, start, n = (batch.column(c).to_numpy() for c in ("key", "doc", "start", "n"))
-            extents.append((doc[~kind], start[~kind], start[~kind] + n[~kind]))
-            go = np.flatnonzero(kind)
-            for k, b, d, s in zip(key[go].tolist(), batch.column("bytes").take(pa.array(go)).to_pylist(), doc[go].tolist(), start[go].tolist()):
-                if earliest(first, b, (d, s)):
-                    keys.setdefault(k, []).append(b)
+            for kind, body in zip(batch.column("kind").to_pylist(), batch.column("body").to_pylist()):
+                if not kind:
+                    extents.append(tuple(_unpacked(body, 3)[0]))
+                    continue
+                (key, doc, start, n), strings = _unpacked(body, 4)
+                stop = np.cumsum(n + length - 1)
+                for k, b, e, d, s in zip(key.tolist(), (stop - n - length + 1).tolist(), stop.tolist(), doc.tolist(), start.tolist()):
+                    if earliest(first, strings[b:e], (d, s)):
+                        keys.setdefault(k, []).append(strings[b:e])
 
         def settled(strings: list[bytes], places: dict[bytes, tuple[int, int]]) -> None:
             cls, string, place = equal_strings(strings, length)
@@ -329,17 +357,20 @@ def _resolved(length: int, collection: int):
             repeat = (doc != doc[head]) | (at != at[head])
             extents.append((doc[repeat], at[repeat], at[repeat] + length))
 
+        parts: dict[bytes, tuple[int, int]] = {}
+        waiting: list[bytes] = []
+
         def narrowed(keys: list[int], strings: list[bytes]) -> None:
-            """Only parts whose strings occur again go on; equal parts are merged, and what still differs is sorted."""
-            parts: dict[bytes, tuple[int, int]] = {}
+            """Only parts whose strings occur again go on; equal parts are merged, and what still differs waits to be sorted."""
             by_key: dict[int, list[bytes]] = {}
             for i, a, b in _met_again(strings, length):
                 d, s = first[strings[i]]
                 if earliest(parts, strings[i][a:b], (d, s + a)):
                     by_key.setdefault(keys[i], []).append(strings[i][a:b])
-            waiting = [p for ps in by_key.values() if len(ps) > 1 or len(ps[0]) > length and _met_again(ps, length) for p in ps]
-            if waiting:
+            waiting.extend(p for ps in by_key.values() if len(ps) > 1 or len(ps[0]) > length and _met_again(ps, length) for p in ps)
+            if sum(map(len, waiting)) >= collection:
                 settled(waiting, parts)
+                waiting.clear()
 
         held_keys, held, size = [], [], 0
         for k, strings in keys.items():
@@ -351,6 +382,8 @@ def _resolved(length: int, collection: int):
                 held_keys, held, size = [], [], 0
         if held:
             narrowed(held_keys, held)
+        if waiting:
+            settled(waiting, parts)
         if late:
             extents.append(tuple(np.array(late, np.int64).T))
         doc, begin, end = (np.concatenate(x) for x in zip(*extents)) if extents else (np.zeros(0, np.int64),) * 3
@@ -371,8 +404,8 @@ def extents(docs: DataFrame, length: int = 100, set_bits: int = SET_BITS, gram:
     for base, size, marks in met.groupBy("owner").applyInArrow(_marked(owners, set_bits), "base long, size long, marks binary").toLocalIterator():
         table[base : base + size] = np.unpackbits(np.frombuffer(marks, np.uint8), count=size).view(bool)
     shared = spark.sparkContext.broadcast(np.packbits(table))
-    sent = docs.mapInArrow(_sent(shared, length, gram, most), _SENT)
-    return sent.repartition(owners, "key").mapInArrow(_resolved(length, collection), "doc long, begin long, end long")
+    sent = docs.mapInArrow(_sent(shared, 4 * owners, length, gram, most), "owner int, kind boolean, body binary")
+    return sent.repartition(owners, "owner").mapInArrow(_resolved(length, collection), "doc long, begin long, end long")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
