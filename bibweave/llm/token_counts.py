@@ -28,8 +28,8 @@ _SPACE = frozenset(" \t\n\r\x0b\x0c")
 class Counter:
     """Counts with the tokenizers library; one per worker process and file."""
 
-    #: Words whose counts a worker remembers; when full the table starts anew.
-    LIMIT = 600_000
+    #: Words in the younger of two tables per worker; when it is full it becomes the older one, and what is still in use moves over.
+    LIMIT = 500_000
     _open: dict[str, Counter] = {}
 
     def __init__(self, path: str):
@@ -38,6 +38,7 @@ class Counter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}
 
     @classmethod
     def named(cls, path: str) -> Counter:
@@ -77,8 +78,10 @@ class Counter:
         """Texts within one chunk are sums over their words, each distinct word encoded once; longer ones are spliced."""
         words = [t.encode().split() if len(t) <= chunk else None for t in texts]
         if len(self.known) > self.LIMIT:
-            self.known.clear()
-        new = list({w for ws in words if ws for w in ws}.difference(self.known))
+            self.known, self.older = {}, self.known
+        new = {w for ws in words if ws for w in ws}.difference(self.known)
+        self.known.update((w, self.older[w]) for w in new if w in self.older)
+        new = list(new.difference(self.known))
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)

@@ -19,14 +19,15 @@ _UNSURE = re.compile(r" \s| \Z")
 
 
 class WordCache:
-    #: Pieces kept per worker; when full the table starts anew.
-    LIMIT = 600_000
+    #: Pieces in the younger of two tables per worker; when it is full it becomes the older one, and what is still in use moves over.
+    LIMIT = 500_000
     _open: dict[str, WordCache] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.newline = self._library(["\n"])[0]
 
     @classmethod
@@ -40,12 +41,15 @@ class WordCache:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: set[str]) -> None:
-        known = self.known
-        if len(known) > self.LIMIT:
-            known.clear()
+        if len(self.known) > self.LIMIT:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        known.update((p, older[p]) for p in pieces.difference(known) if p in older)
         new = pieces.difference(known)
         ended = [p for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha()]
-        bases = sorted({p[:-1] for p in ended}.union(new.difference(ended), (".", ",")).difference(known))
+        bases = {p[:-1] for p in ended}.union(new.difference(ended), (".", ",")).difference(known)
+        known.update((p, older[p]) for p in bases if p in older)
+        bases = sorted(bases.difference(known))
         for at in range(0, len(bases), 4096):
             some = bases[at : at + 4096]
             known.update(zip(some, self._library(some)))
