@@ -2,7 +2,7 @@
 
 A text is cut into words by the tokenizer's pattern. The merges of a word are a fold over its byte array: the state holds the
 pieces and the ranks of neighbouring pairs; every step joins the leftmost pair of lowest rank and looks up the two new pairs.
-The ranks are one literal: an array of small buckets, addressed by a hash of the bytes.
+The ranks are one literal: an array of slots, addressed by a hash of the bytes.
 
 Each distinct word that occurs twice or more is folded once for the whole corpus. The most frequent of them go to the tasks as
 a table of hashes and ids (``CACHED_WORDS`` at most); every other word is folded in its row, once per text. Both give the same
@@ -27,8 +27,9 @@ from bibweave.llm.shared import chosen
 from bibweave.session import cut_lineage, spread
 
 #: Words whose ids are broadcast: 8 bytes of hash, 4 of offset and 4 an id, below 32 bytes a word on average.
-CACHED_WORDS = 500_000
-BUCKETS = 1 << 16
+CACHED_WORDS = 1_000_000
+#: Slots of the rank table, more than twice the ranks.
+SLOTS = 1 << 17
 #: No such pair.
 NONE = 2**31 - 1
 #: What \s stands for in the patterns (the property White_Space); Java's own \s is ASCII only.
@@ -51,16 +52,37 @@ def let(value: Column, body) -> Column:
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
-    buckets: list[list] = [[] for _ in range(BUCKETS)]
+    """The rank map as one literal struct: ``slots`` (rank or -1) and ``pieces`` by rank. A piece has its rank in one of two slots."""
+    slots, mask = [-1] * SLOTS, SLOTS - 1
+    pieces: list[str | None] = [None] * (max(ranks.values()) + 1)
+    hashes = {rank: xxhash.xxh64_intdigest(piece, 42) for piece, rank in ranks.items()}
     for piece, rank in ranks.items():
-        buckets[xxhash.xxh64_intdigest(piece, 42) % BUCKETS].append({"p": base64.b64encode(piece).decode(), "r": rank})
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<array<struct<p: binary, r: int>>>")
+        pieces[rank] = base64.b64encode(piece).decode()
+        at, moved = hashes[rank] & mask, 0
+        while slots[at] >= 0:  # the piece that was there goes to its other slot
+            slots[at], rank = rank, slots[at]
+            own = hashes[rank] & mask
+            at, moved = (hashes[rank] >> 32 & mask if at == own else own), moved + 1
+            if moved > 1000:
+                raise ValueError("too many ranks for the table")
+        slots[at] = rank
+    return F.from_json(F.lit(json.dumps({"slots": slots, "pieces": pieces}, separators=(",", ":"))), "slots array<int>, pieces array<binary>")
 
 
-def _ranks(buckets: Column, pieces: Column) -> Column:
-    slot = lambda p: F.xxhash64(p).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-    found = lambda p: F.get(F.filter(F.get(buckets, slot(p)), lambda e: e["p"] == p), F.lit(0))["r"]
-    return F.transform(pieces, lambda p: F.coalesce(found(p), F.lit(NONE)))
+def _rank(table: Column, piece: Column) -> Column:
+    def at(slot: Column) -> Column:
+        return F.get(table["slots"], slot.bitwiseAND(F.lit(SLOTS - 1)).cast("int"))
+
+    def held(rank: Column) -> Column:
+        return F.get(table["pieces"], rank) == piece
+
+    h = F.xxhash64(piece)
+    one, two = at(h), at(F.shiftrightunsigned(h, 32))
+    return F.when(held(one), one).when(held(two), two).otherwise(F.lit(NONE))
+
+
+def _ranks(table: Column, pieces: Column) -> Column:
+    return F.transform(pieces, lambda p: _rank(table, p))
 
 
 def _step(buckets: Column, s: Column) -> Column:
