@@ -70,6 +70,11 @@ def jaro_winkler_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler(x, y) for x, y in zip(a, b)])
 
 
+@F.pandas_udf(T.DoubleType())
+def jaro_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([jaro_winkler(x, y, 0.0) for x, y in zip(a, b)])
+
+
 def levenshtein_similarity(a, b):
     """One minus the edit distance over the longer length."""
     return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))

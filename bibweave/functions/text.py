@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
-# Named entities decoded without leaving the JVM. "&amp;" comes
-# last so that a double-escaped text is decoded exactly one level.
-ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&aring;", "å"),
-    ("&auml;", "ä"),
-    ("&ouml;", "ö"),
-    ("&Aring;", "Å"),
-    ("&Auml;", "Ä"),
-    ("&Ouml;", "Ö"),
-    ("&eacute;", "é"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&amp;", "&"),
-]
+# All named entities of HTML that end in a semicolon, from the standard library; a no-break space becomes a blank.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")} | {"nbsp": " "}
 
 # Escapes for XML text, in the order they are applied.
 XML_ESCAPES = [
@@ -63,15 +50,29 @@ def shorten(col: Column, width: int = 25) -> Column:
     ).otherwise(col)
 
 
+def decode_entities(col: Column) -> Column:
+    """Named and numeric entities as characters, each once; what is none stays as it is."""
+    table = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+
+    def decoded(piece: Column) -> Column:
+        code = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        number = F.when(code.rlike("^#[xX]"), F.conv(F.substr(code, F.lit(3)), 16, 10)).when(code.startswith("#"), F.substr(code, F.lit(2))).try_cast("int")
+        valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number < 0x110000))
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        text = F.when(code.startswith("#"), F.when(valid, char)).when(code != "", F.try_element_at(table, code))
+        return F.when(text.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(text, F.substr(piece, F.length(code) + 2)))
+
+    pieces = F.split(col, "&", -1)
+    return F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
+
+
 def tidy_html(col: Column) -> Column:
     """Text of an HTML fragment: markup removed, entities decoded. A text with
     neither is passed through untouched."""
     out = F.regexp_replace(col, r"(?is)<(script|style)\b.*?</\1\s*>", "")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", "")
     out = F.regexp_replace(out, r"(?s)<[^>]*>", "")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(col.contains("<") | col.contains("&"), out).otherwise(col)
+    return F.when(col.contains("<") | col.contains("&"), decode_entities(out)).otherwise(col)
 
 
 def tidy_xml(col: Column, cdata: bool = False, ampersand_first: bool = False) -> Column:
@@ -134,17 +135,27 @@ def clean_organisation(col: Column) -> Column:
     return F.regexp_replace(out, r"\s*https://ror\.org/[0-9a-z]{9}", "")
 
 
+def _folded_letters() -> tuple[str, str]:
+    """Every accented Latin letter that stands for one ASCII letter, and that letter; stroked ones by their names."""
+    pairs = []
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        char = chr(code)
+        base = unicodedata.normalize("NFKD", char)[0].lower()
+        named = re.match(r"LATIN SMALL LETTER ([A-Z]) WITH ", unicodedata.name(char, ""))
+        if char == char.lower() and not base.isascii():
+            base = named[1].lower() if named else ""
+        if char == char.lower() and base.isascii() and base.isalpha():
+            pairs.append((char, base))
+    pairs.append(("\u0131", "i"))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def match_text(col: Column) -> Column:
-    """Lower case, accents folded to ASCII, runs of blanks collapsed.
-
-    Fixed values: the letters of the Latin alphabets that occur in the data."""
-    folded = F.translate(
-        F.lower(col),
-        "åäáàâãöóòôõø"
-        "éèêëíìîïúùûüçñýÿ",
-        "aaaaaaooooooeeeeiiiiuuuucnyy",
-    )
-    folded = F.replace(F.replace(folded, F.lit("æ"), F.lit("ae")), F.lit("ß"), F.lit("ss"))
+    """Lower case, accented Latin letters as ASCII, combining marks dropped, runs of blanks collapsed."""
+    folded = F.lower(col)
+    for letter, pair in (("æ", "ae"), ("œ", "oe"), ("ß", "ss"), ("þ", "th")):
+        folded = F.replace(folded, F.lit(letter), F.lit(pair))
+    folded = F.regexp_replace(F.translate(folded, *_folded_letters()), r"[\u0300-\u036f]", "")
     return F.regexp_replace(folded, r"\s+", " ")
 
 

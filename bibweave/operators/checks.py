@@ -498,28 +498,21 @@ def shared_orcid_overview(details: DataFrame) -> DataFrame:
     return details.groupBy("orcid", "staffid").agg(F.count(F.lit(1)).alias("n"))
 
 
+def conflicting_orcids(authors: DataFrame) -> DataFrame:
+    """(staffid, orcid): every ORCID of each staff id that occurs with more than one."""
+    pairs = authors.where(c("orcid").isNotNull() & c("staffid").isNotNull()).select("staffid", "orcid").distinct()
+    several = pairs.groupBy("staffid").agg(F.count(F.lit(1)).alias("__n")).where(c("__n") > 1)
+    return pairs.join(several, "staffid").select("staffid", "orcid")
+
+
 def conflicting_orcid_rows(authors: DataFrame) -> DataFrame:
-    """Author rows whose staff id also occurs with another ORCID.
+    """Author rows whose staff id also occurs with another ORCID, once each, with the number of other ORCIDs.
 
-    Each row is listed once with the number of other ORCIDs and the lowest and
-    highest of them, so the size follows the table and not rows times ORCIDs.
+    ``conflicting_orcids`` names them all; kept apart, both tables follow the
+    size of the input and not rows times ORCIDs.
     """
-    pairs = authors.where(c("orcid").isNotNull() & c("staffid").isNotNull()).select("orcid", "staffid").distinct()
-    per_id = (
-        pairs.groupBy("staffid")
-        .agg(F.count(F.lit(1)).alias("__n"), F.min("orcid").alias("__lo"), F.max("orcid").alias("__hi"))
-        .where(c("__n") > 1)
-    )
-    rows = authors.where(c("orcid").isNotNull()).join(per_id, "staffid")
-    low = F.when(c("orcid") == c("__lo"), F.lit(None)).otherwise(c("__lo"))
-    high = F.when(c("orcid") == c("__hi"), F.lit(None)).otherwise(c("__hi"))
-    return rows.withColumns(
-        {
-            "n_other": c("__n") - 1,
-            "other_lowest": low,
-            "other_highest": high,
-        }
-    ).drop("__n", "__lo", "__hi")
+    others = conflicting_orcids(authors).groupBy("staffid").agg((F.count(F.lit(1)) - 1).alias("n_other"))
+    return authors.where(c("orcid").isNotNull()).join(others, "staffid")
 
 
 def orcids_with_several_staff_ids(authors: DataFrame) -> DataFrame:

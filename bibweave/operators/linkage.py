@@ -14,7 +14,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bibweave.functions.distance import jaro_winkler_similarity, levenshtein_similarity, osa_distance
+from bibweave.functions.distance import jaro_similarity, levenshtein_similarity, osa_distance
 from bibweave.functions.nulls import nullsafe_join
 from bibweave.operators.groups import counts, first_row
 from bibweave.operators.setops import stack
@@ -183,16 +183,14 @@ def _tokens(text: Column) -> Column:
 
 
 def best_matches(left: DataFrame, right: DataFrame, name: str, max_distance: float = 0.1) -> DataFrame:
-    """(name, match, distance): the nearest right name within a Jaro-Winkler distance.
+    """(name, match, distance): the nearest right name within a Jaro distance.
 
-    With similarity ``1 - max_distance`` the plain Jaro part is at least
-    ``(sim - 0.4) / 0.6``, so both texts share at least a known number of
-    characters. Each side is therefore indexed by its first (rarest) tokens
+    From a similarity of ``1 - max_distance`` on, both texts share at least a
+    known number of characters. Each side is therefore indexed by its first (rarest) tokens
     only, as many as must contain a shared one, and compared when the lengths
     and the shared characters allow it.
     """
-    floor_jaro = (1 - max_distance - 0.4) / 0.6
-    share = 3 * floor_jaro - 1  # m/|a| + m/|b| is at least this much
+    share = 3 * (1 - max_distance) - 1  # m/|a| + m/|b| is at least this much
     a = spread(left.where(F.length(name) > 0).select(c(name).alias("a")).distinct(), "a").withColumn("ua", F.upper("a"))
     b = spread(right.where(F.length(name) > 0).select(c(name).alias("b")).distinct(), "b").withColumn("ub", F.upper("b"))
 
@@ -209,7 +207,7 @@ def best_matches(left: DataFrame, right: DataFrame, name: str, max_distance: flo
     # shared token only, so no pair is made twice and no far pair is made at all
     fits = (F.size(common) * (1 / la + 1 / lb) >= share - 1e-9) & (F.get(common, 0) == c("token"))
     pairs = prefixed(a, "ua", "ta").join(prefixed(b, "ub", "tb"), "token").where(fits).select("a", "ua", "b", "ub")
-    near = pairs.withColumn("distance", 1 - jaro_winkler_similarity(c("ua"), c("ub"))).where(
+    near = pairs.withColumn("distance", 1 - jaro_similarity(c("ua"), c("ub"))).where(
         c("distance") <= max_distance + 1e-12
     )
     best = near.groupBy("a").agg(F.min_by(F.struct("b", "distance"), F.struct("distance", "b")).alias("x"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bibweave.functions.dates import conference_details, parse_iso_stamp, safe_date
 from bibweave.functions.text import clean_organisation, tidy_html, tidy_xml
+from bibweave.session import cut_lineage
 from bibweave.operators.groups import separator_hits
 from bibweave.operators.joins import with_parent
 from bibweave.operators.ordered import fill_down, neighbour
@@ -218,25 +219,32 @@ def extended_abstracts(df: DataFrame, json: str = "json", sid: str = "sid") -> d
 
 # --- trees of unknown shape ----------------------------------------------------------------
 
-def tree_leaves(df: DataFrame, key: str, json: str, depth: int = 8) -> DataFrame:
-    """(key, path, name, value): all scalar leaves of JSON texts, to a given depth.
+#: Levels that one written step of ``tree_leaves`` opens.
+LEVELS = 8
 
-    Each level opens objects and arrays in place and lets scalars through, so
-    one pass over the rows serves all levels.
+
+def tree_leaves(df: DataFrame, key: str, json: str) -> DataFrame:
+    """(key, path, name, value): all scalar leaves of JSON texts, however deep.
+
+    Each level opens objects and arrays in place and lets scalars through. Some
+    levels make one step over all rows; steps follow until none is left to open.
     """
     level = df.select(key, F.lit("").alias("path"), F.parse_json(json).alias("v"), F.lit("").alias("name"))
-    for _ in range(depth):
-        level = level.sparkSession.sql(
-            f"""SELECT `{key}`,
-              CASE WHEN x.value IS NULL THEN path ELSE concat(path, '/', coalesce(x.key, lpad(CAST(x.pos AS STRING), 6, '0'))) END AS path,
-              coalesce(x.value, v) AS v, coalesce(x.key, name) AS name
-            FROM {{level}}, LATERAL variant_explode_outer(v) AS x""",
-            level=level,
-        )
+    container = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")
+    while True:
+        for _ in range(LEVELS):
+            level = level.sparkSession.sql(
+                f"""SELECT `{key}`,
+                  CASE WHEN x.value IS NULL THEN path ELSE concat(path, '/', coalesce(x.key, lpad(CAST(x.pos AS STRING), 6, '0'))) END AS path,
+                  coalesce(x.value, v) AS v, coalesce(x.key, name) AS name
+                FROM {{level}}, LATERAL variant_explode_outer(v) AS x""",
+                level=level,
+            )
+        level = cut_lineage(level, "tree")
+        if level.where(container & ~F.to_json("v").isin("{}", "[]")).isEmpty():
+            break
     scalar = F.try_variant_get("v", "$", "string")
-    return level.select(key, "path", "name", scalar.alias("value")).where(
-        c("value").isNotNull() & ~F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")
-    )
+    return level.select(key, "path", "name", scalar.alias("value")).where(c("value").isNotNull() & ~container)
 
 
 def find_in_tree(leaves: DataFrame, key: str, name: str, parent: str | None = None) -> DataFrame:
@@ -298,11 +306,10 @@ def portal_persons(labelled: DataFrame) -> DataFrame:
 # --- registry and project answers -----------------------------------------------------------
 
 def registry_funders(df: DataFrame, json: str = "json") -> DataFrame:
-    """Funder items with alternative and replacing names as columns."""
+    """Funder items with all their alternative and replacing names as arrays."""
     item = "struct<id:string,name:string,uri:string,`alt-names`:array<string>,`replaced-by`:array<string>,replaces:array<string>>"
     rows = df.select(F.explode(F.from_json(F.get_json_object(json, "$.message.items"), f"array<{item}>")).alias("x")).select("x.*")
-    first = lambda n: [F.get(c(f"`{n}`"), i).alias(f"{n.replace('-', '_')}_{i + 1}") for i in range(2)]
-    return rows.select("id", "name", "uri", *first("alt-names"), *first("replaced-by"), *first("replaces"))
+    return rows.select("id", "name", "uri", c("`alt-names`").alias("alt_names"), c("`replaced-by`").alias("replaced_by"), "replaces")
 
 
 def registry_prefixes(df: DataFrame, json: str = "json") -> DataFrame:
@@ -345,15 +352,20 @@ def organisation_tree(units: DataFrame, rowkey: str = "rowkey") -> DataFrame:
     return with_parent(keyed, rowkey, "p_rowkey", "orgid", "p_orgid").drop("p_rowkey")
 
 
-def ancestors(units: DataFrame, depth: int = 8) -> DataFrame:
-    """(orgid, ancestor, distance) by one join per level, to a given depth."""
+def ancestors(units: DataFrame) -> DataFrame:
+    """(orgid, ancestor, distance) of all ancestors, by one join per level until
+    no unit has a higher one. A unit that is its own ancestor is an error."""
     parents = units.where(c("p_orgid").isNotNull()).select(c("orgid").alias("__child"), c("p_orgid").alias("__parent"))
     level = parents.select(c("__child").alias("orgid"), c("__parent").alias("ancestor"), F.lit(1).alias("distance"))
+    level = cut_lineage(level, "ancestors")
     out = level
-    for d in range(2, depth + 1):
+    while not level.isEmpty():
+        if not level.where(c("orgid") == c("ancestor")).isEmpty():
+            raise ValueError("the hierarchy has a cycle")
         level = level.join(parents, c("ancestor") == c("__child")).select(
-            "orgid", c("__parent").alias("ancestor"), F.lit(d).alias("distance")
+            "orgid", c("__parent").alias("ancestor"), (c("distance") + 1).alias("distance")
         )
+        level = cut_lineage(level, "ancestors")
         out = out.unionByName(level)
     return out
 

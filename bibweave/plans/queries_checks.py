@@ -424,12 +424,12 @@ sh AS (SELECT orcid, staffid FROM pr WHERE orcid IN (SELECT orcid FROM pr GROUP
 author_check("q38_shared_orcids", q.shared_orcids, SHARED + " SELECT * FROM sh")
 author_check("q38_overview", lambda a: q.shared_orcid_overview(q.shared_orcids(a)),
              SHARED + " SELECT orcid, staffid, count(*) AS n FROM sh GROUP BY ALL")
-author_check("q38_conflicting_rows", lambda a: q.conflicting_orcid_rows(a).select(
-    "PID", "pos", "staffid", "orcid", "n_other", "other_lowest", "other_highest"), """
-pr AS (SELECT DISTINCT orcid, staffid FROM authors WHERE orcid IS NOT NULL AND staffid IS NOT NULL),
-g AS (SELECT staffid, count(*) AS n, min(orcid) AS lo, max(orcid) AS hi FROM pr GROUP BY 1 HAVING count(*) > 1)
-SELECT "PID", pos, a.staffid, a.orcid, n - 1 AS n_other, CASE WHEN orcid = lo THEN NULL ELSE lo END AS other_lowest,
-CASE WHEN orcid = hi THEN NULL ELSE hi END AS other_highest FROM authors a JOIN g ON a.staffid = g.staffid WHERE orcid IS NOT NULL""")
+author_check("q38_conflicting_rows", lambda a: q.conflicting_orcid_rows(a).select("PID", "pos", "staffid", "orcid", "n_other"), """
+g AS (SELECT staffid, count(DISTINCT orcid) AS n FROM authors WHERE orcid IS NOT NULL AND staffid IS NOT NULL GROUP BY 1 HAVING count(DISTINCT orcid) > 1)
+SELECT "PID", pos, a.staffid, a.orcid, n - 1 AS n_other FROM authors a JOIN g ON a.staffid = g.staffid WHERE orcid IS NOT NULL""")
+author_check("q38_conflicting_orcids", q.conflicting_orcids, """
+pr AS (SELECT DISTINCT staffid, orcid FROM authors WHERE orcid IS NOT NULL AND staffid IS NOT NULL)
+SELECT staffid, orcid FROM pr QUALIFY count(*) OVER (PARTITION BY staffid) > 1""")
 
 author_check("q39_several_staff_ids", q.orcids_with_several_staff_ids, """
 SELECT orcid, CAST(0 AS INT) AS piece, string_agg(DISTINCT staffid, ' ' ORDER BY staffid) AS staffids,

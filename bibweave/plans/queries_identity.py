@@ -224,7 +224,7 @@ UNIT_B = "SELECT DISTINCT concat(p_type, ' ', p_name, 's') AS name FROM part"
 
 
 @query("l06_best_matches", f"""WITH a AS ({UNIT_A}), b AS ({UNIT_B}),
-j AS (SELECT a.name, b.name AS match, 1 - jaro_winkler_similarity(upper(a.name), upper(b.name)) AS distance FROM a, b)
+j AS (SELECT a.name, b.name AS match, 1 - jaro_similarity(upper(a.name), upper(b.name)) AS distance FROM a, b)
 SELECT name, match, round(distance, 6) AS distance FROM j WHERE distance <= 0.1 QUALIFY row_number() OVER (PARTITION BY name ORDER BY round(distance, 9), match) = 1""")
 def l06(spark, d):
     p = table(spark, d, "part")

@@ -152,9 +152,25 @@ def n14_correspondence(spark, d):
 # --- trees --------------------------------------------------------------------------------
 
 
+@query("n15_deep_leaves", """SELECT s_suppkey, concat(repeat('/k/000000', 6), '/k') AS path, s_name AS value FROM supplier""")
+def n15_deep(spark, d):
+    """A value below thirteen levels of objects and arrays."""
+    t = table(spark, d, "supplier")
+    deep = F.concat(F.lit('{"k":['  * 6 + '{"k":'), F.to_json(F.struct(c("s_name").alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(c("s_name").alias("v")))) - 6), F.lit("}" + "]}" * 6))
+    return r.find_in_tree(r.tree_leaves(t.select("s_suppkey", deep.alias("json")), "s_suppkey", "json"), "s_suppkey", "k")
+
+
+@query("n22_long_chain", """SELECT a.s_suppkey AS orgid, b.s_suppkey AS ancestor, CAST(a.s_suppkey - b.s_suppkey AS INT) AS distance
+FROM supplier a JOIN supplier b ON b.s_suppkey < a.s_suppkey AND b.s_suppkey // 12 = a.s_suppkey // 12""")
+def n22_long(spark, d):
+    """Chains of twelve units, each below the one before."""
+    k = c("s_suppkey")
+    return r.ancestors(table(spark, d, "supplier").select(k.alias("orgid"), F.when(k % 12 > 0, k - 1).alias("p_orgid")))
+
+
 @query("n15_find_in_tree", """SELECT event_id, '/k' AS path, CAST(json_extract(props, '$.k') AS VARCHAR) AS value FROM events""")
 def n15(spark, d):
-    leaves = r.tree_leaves(table(spark, d, "events").select("event_id", "props"), "event_id", "props", 2)
+    leaves = r.tree_leaves(table(spark, d, "events").select("event_id", "props"), "event_id", "props")
     return r.find_in_tree(leaves, "event_id", "k")
 
 
@@ -175,7 +191,7 @@ def _portal_trees(spark, d):
 @query("n16_portal_organisations", """SELECT CAST(s_suppkey AS INT) AS orgid, 'unit' AS org_type, CAST(s_suppkey % 10 AS INT) AS p_orgid, CAST(NULL AS VARCHAR) AS org_code, CAST(s_suppkey % 10 AS VARCHAR) AS l_orgid,
 concat('Zenhet ', s_suppkey) AS unit_sv, concat('Unit ', s_suppkey) AS unit_en, CASE WHEN s_acctbal < 3000 THEN '2012-12-31' END AS closed_date FROM supplier""")
 def n16(spark, d):
-    leaves = r.tree_leaves(_portal_trees(spark, d), "s_suppkey", "json", 7)
+    leaves = r.tree_leaves(_portal_trees(spark, d), "s_suppkey", "json")
     return r.portal_organisations(r.labelled_values(leaves, "s_suppkey")).drop("ts_created", "ts_updated")
 
 
@@ -336,14 +352,15 @@ def s14(spark, d):
 # --- registries, projects, hierarchies --------------------------------------------------------------
 
 
-@query("n19_funders", """SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, concat('http://f/', s_suppkey) AS uri, 'alt' AS alt_names_1, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS alt_names_2,
-CASE WHEN s_suppkey % 3 = 0 THEN 'r' END AS replaced_by_1, CAST(NULL AS VARCHAR) AS replaced_by_2, CAST(NULL AS VARCHAR) AS replaces_1, CAST(NULL AS VARCHAR) AS replaces_2 FROM supplier""")
+@query("n19_funders", """SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, concat('http://f/', s_suppkey) AS uri, CASE WHEN s_suppkey % 2 = 0 THEN concat('alt|', s_name, '|third|fourth') ELSE 'alt' END AS alt_names,
+CASE WHEN s_suppkey % 3 = 0 THEN 'r' END AS replaced_by, CAST(NULL AS VARCHAR) AS replaces FROM supplier""")
 def n19(spark, d):
     s = table(spark, d, "supplier")
     k = c("s_suppkey").cast("string")
-    alt = F.when(c("s_suppkey") % 2 == 0, F.array(F.lit("alt"), c("s_name"))).otherwise(F.array(F.lit("alt")))
+    alt = F.when(c("s_suppkey") % 2 == 0, F.array(F.lit("alt"), c("s_name"), F.lit("third"), F.lit("fourth"))).otherwise(F.array(F.lit("alt")))
     item = T("i", ("id", k), ("name", c("s_name")), ("uri", F.concat(F.lit("http://f/"), k)), ("alt-names", alt), ("replaced-by", F.when(c("s_suppkey") % 3 == 0, F.array(F.lit("r")))))
-    return r.registry_funders(s.select(F.to_json(F.struct(F.struct(F.array(item).alias("items")).alias("message"))).alias("json")))
+    found = r.registry_funders(s.select(F.to_json(F.struct(F.struct(F.array(item).alias("items")).alias("message"))).alias("json")))
+    return found.select("id", "name", "uri", *[F.array_join(n, "|").alias(n) for n in ("alt_names", "replaced_by", "replaces")])
 
 
 @query("n19_prefixes", "SELECT concat(s_name, ' & Co') AS publisher, CAST(s_suppkey AS INT) AS cr_id, unnest([concat('10.', s_suppkey), concat('10.9', s_suppkey)]) AS doi_prefix FROM supplier")
@@ -394,7 +411,7 @@ b AS (SELECT a.orgid, o.p_orgid AS ancestor, 2 AS distance FROM a JOIN organisat
 e AS (SELECT b.orgid, o.p_orgid AS ancestor, 3 AS distance FROM b JOIN organisations o ON o.orgid = b.ancestor WHERE o.p_orgid IS NOT NULL)
 SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM e"""))
 def n22_ancestors(spark, d):
-    return r.ancestors(bound(spark, d, "organisations"), 4)
+    return r.ancestors(bound(spark, d, "organisations"))
 
 
 LINES = """WITH t AS (SELECT o_orderkey AS n, o_orderkey % 5 AS m FROM orders),

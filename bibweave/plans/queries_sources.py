@@ -49,20 +49,17 @@ def s03(spark, d):
     folder = run_dir(spark, "years")
     o.repartition("y").write.partitionBy("y").option("header", True).csv(folder)
     rows = s.read_strings(spark, folder)
-    return rows.withColumn("file_year", F.regexp_extract("_metadata.file_path", r"y=(\d{4})", 1).cast("int")).groupBy("file_year").agg(F.count("o_orderkey").alias("n"))
+    return s.with_year_of_file(rows).groupBy("file_year").agg(F.count("o_orderkey").alias("n"))
 
 
 @query("s04_newest_file", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O'")
 def s04(spark, d):
-    """Three dated extracts; the newest one is read."""
+    """Three dated extracts of several files each; all files of the newest one are read."""
     o = table(spark, d, "orders")
     folder = run_dir(spark, "dated")
     for status, day in [("F", dt.date(2024, 5, 1)), ("O", dt.date(2024, 5, 3)), ("P", dt.date(2024, 5, 2))]:
-        o.where(c("o_orderstatus") == status).select("o_orderkey").coalesce(1).write.mode("overwrite").parquet(f"{folder}/staff_{day:%Y%m%d}")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)
-    day = F.try_to_date(F.regexp_extract("path", r"staff_(\d{8})", 1), "yyyyMMdd")
-    path = s.choose_file(files.select("path", day.alias("file_date")))
-    return spark.read.parquet(path)
+        o.where(c("o_orderstatus") == status).select("o_orderkey").repartition(4).write.mode("overwrite").parquet(f"{folder}/staff_{day:%Y%m%d}")
+    return spark.read.parquet(*s.choose_files(s.dated_files(spark, folder, "*.parquet")))
 
 
 HR_NAMES = {"STAFF_NO": "staffid", "BIRTH": "yob", "FIRST": "firstname", "LAST": "lastname", "BEG": "emp_beg", "END": "emp_end", "DEG": "emp_degree"}

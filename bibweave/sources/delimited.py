@@ -65,29 +65,32 @@ def read_authors(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def with_year_of_file(df: DataFrame) -> DataFrame:
-    """Add the four-digit year in the file name."""
-    year = F.regexp_extract(c("_metadata.file_name"), r"(\d{4})", 1)
-    return df.withColumn("file_year", year.try_cast("int"))
+    """Add the year named by the file's folder (``.../1996/``, ``y=1996/``), else by the file itself."""
+    path = c("_metadata.file_path")
+    folder = F.regexp_extract(path, r"[/=_-]((?:19|20)\d{2})/[^/]*$", 1)
+    name = F.regexp_extract(path, r"/[^/]*?(?<!\d)((?:19|20)\d{2})(?!\d)[^/]*$", 1)
+    return df.withColumn("file_year", F.coalesce(folder.try_cast("int"), name.try_cast("int")))
 
 
 def dated_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """(path, file_date) of the files whose name holds an eight-digit date."""
+    """(path, file_date) of the files whose name, or else whose folder's name, holds an eight-digit date."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-    day = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"(\d{8})", 1)
-    return listing.select("path", "modificationTime", "length", F.try_to_date(day, "yyyyMMdd").alias("file_date")).where(
+    parts = F.split("path", "/")
+    day = lambda level: F.try_to_date(F.regexp_extract(F.get(parts, F.size(parts) - level), r"(?<!\d)(\d{8})(?!\d)", 1), "yyyyMMdd")
+    return listing.select("path", "modificationTime", "length", F.coalesce(day(1), day(2)).alias("file_date")).where(
         c("file_date").isNotNull()
     )
 
 
-def choose_file(files: DataFrame, offset_days: int = 0) -> str:
-    """Path of the newest file, or of the one ``offset_days`` before the newest.
+def choose_files(files: DataFrame, offset_days: int = 0) -> list[str]:
+    """Paths of all files of the newest date, or of the one ``offset_days`` before.
 
-    Collects one row of the listing."""
-    newest = files.agg(F.date_sub(F.max("file_date"), offset_days)).scalar()
-    row = files.where(c("file_date") == newest).orderBy(c("path").desc()).first()
-    if row is None:
+    Collects the listing of one extract."""
+    newest = files.agg(F.date_sub(F.max("file_date"), offset_days).alias("d"))
+    paths = sorted(r["path"] for r in files.join(newest, c("file_date") == c("d")).select("path").collect())
+    if not paths:
         raise FileNotFoundError(f"no file dated {offset_days} days before the newest")
-    return row["path"]
+    return paths
 
 
 def read_staff(spark: SparkSession, path: str | list[str], mapping: dict[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -63,9 +64,11 @@ def difference(spark, con, fn, sql: str, sf_dir: str) -> str | None:
 
 
 def main():
-    from bibweave.plans.catalogue import ORACLES, QUERIES
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from __spark_entry__ import oracle_sql, queries
     from bibweave.session import local_session
 
+    QUERIES, ORACLES = queries(), oracle_sql()
     sf_dir = sys.argv[1]
     picks = sys.argv[2:]
     spark = local_session("8")
