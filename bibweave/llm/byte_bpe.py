@@ -27,7 +27,7 @@ from bibweave.llm.shared import chosen
 from bibweave.session import cut_lineage, spread
 
 #: Words whose ids are broadcast: 8 bytes of hash, 4 of offset and 4 an id, below 32 bytes a word on average.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 #: Slots of the rank table, more than twice the ranks.
 SLOTS = 1 << 17
 #: No such pair.
