@@ -14,7 +14,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bibweave.functions.distance import jaro_similarity, levenshtein_similarity, osa_distance
+from bibweave.functions.distance import jaro_similarity, jaro_winkler_similarity, levenshtein_similarity, osa_distance
 from bibweave.functions.nulls import nullsafe_join
 from bibweave.operators.groups import counts, first_row
 from bibweave.operators.setops import stack
