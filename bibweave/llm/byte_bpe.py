@@ -1,8 +1,9 @@
 """Byte-level BPE with Spark's higher-order functions.
 
 A text is cut into words by the tokenizer's pattern. The merges of a word are a fold over its byte array: the state holds the
-pieces and the ranks of neighbouring pairs; every step joins the leftmost pair of lowest rank and looks up the two new pairs.
-The ranks are one literal: an array of slots, addressed by a hash of the bytes.
+pieces with the ranks of neighbouring pairs; every step joins the leftmost pair of lowest rank and looks up the two new pairs.
+The ranks are one literal: for every two pieces that make a third its rank, addressed by their ids. A piece that its own bytes
+do not merge to would need an id of its own beside the fold; a rank file with such a piece is refused.
 
 Each distinct word that occurs twice or more is folded once for the whole corpus. The most frequent of them go to the tasks as
 a table of hashes and ids (``CACHED_WORDS`` at most); every other word is folded in its row, once per text. Both give the same
@@ -28,10 +29,13 @@ from bibweave.session import cut_lineage, spread
 
 #: Words whose ids are broadcast: 8 bytes of hash, 4 of offset and 4 an id, below 32 bytes a word on average.
 CACHED_WORDS = 400_000
-#: Slots of the rank table, more than twice the ranks.
-SLOTS = 1 << 17
-#: No such pair.
-NONE = 2**31 - 1
+#: Bits of an id or rank, and of what stands below the rank in an entry: 27 bits of place (a word has less than 128 MiB) and the id.
+BITS, LOW_BITS = 18, 45
+#: No such pair; the id at both ends of a word.
+NONE = (1 << BITS) - 1
+LOW, LAST = (1 << LOW_BITS) - 1, NONE << LOW_BITS
+#: Shifts tried at once when the table is built.
+TRIED = 256
 #: What \s stands for in the patterns (the property White_Space); Java's own \s is ASCII only.
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -47,75 +51,129 @@ def java_pattern(pattern: str) -> str:
 
 
 def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """``body(value)`` with the value computed once (as the start of an empty fold, which copies nothing)."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
+
+
+def merged_pieces(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """The plain rule: join the leftmost neighbours of lowest rank until no two of them make a piece."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while len(parts) > 1:
+        rank, at = min((ranks.get(x + y, NONE), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+        if rank == NONE:
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return parts
+
+
+def pair_table(ranks: dict[bytes, int]) -> tuple[int, list[int], list[int]]:
+    """``salt``, ``shifts`` and ``cells``. The pair of ids (a, b) has the key ``a << BITS | b``; with h, the hash of key xor salt, its
+    cell (key and rank) is at place (h >> 32) xor ``shifts[h]``, each taken modulo the size. Pairs that share a shift get the first
+    one that leads them to free cells; the salt is the first with which no two of them have one place.
+    """
+    rank_of: dict[int, int] = {}
+    for piece, rank in ranks.items():
+        for cut in range(1, len(piece)):
+            a, b = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+            if a is not None and b is not None:
+                rank_of[a << BITS | b] = rank
+    size = 1 << max(4, (len(rank_of) * 5 // 4).bit_length())
+    keys, salt = np.array(sorted(rank_of), np.int64), -1
+    apart = False
+    while not apart:
+        salt += 1
+        h = np.array([xxhash.xxh64_intdigest((key ^ salt).to_bytes(8, "little"), 42) for key in keys.tolist()], np.uint64)
+        group, place = (h & np.uint64(size // 4 - 1)).astype(np.int64), (h >> np.uint64(32) & np.uint64(size - 1)).astype(np.int64)
+        apart = len(np.unique(group * size + place)) == len(keys)
+    shifts, cells, groups = np.zeros(size // 4, np.int64), np.full(size, -1), {}
+    for i, g in enumerate(group.tolist()):
+        groups.setdefault(g, []).append(i)
+    for g, members in sorted(groups.items(), key=lambda x: (-len(x[1]), x[0])):
+        for first in range(0, size, TRIED):
+            tried = np.arange(first, min(first + TRIED, size))
+            free = (cells[place[members][:, None] ^ tried] < 0).all(axis=0)
+            if free.any():
+                break
+        else:
+            raise ValueError("too many pairs for the table")
+        shifts[g] = tried[int(free.argmax())]
+        cells[place[members] ^ shifts[g]] = [k << BITS | rank_of[k] for k in keys[members].tolist()]
+    return salt, shifts.tolist(), cells.tolist()
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as one literal struct: ``slots`` (rank or -1) and ``pieces`` by rank. A piece has its rank in one of two slots."""
-    slots, mask = [-1] * SLOTS, SLOTS - 1
-    pieces: list[str | None] = [None] * (max(ranks.values()) + 1)
-    hashes = {rank: xxhash.xxh64_intdigest(piece, 42) for piece, rank in ranks.items()}
-    for piece, rank in ranks.items():
-        pieces[rank] = base64.b64encode(piece).decode()
-        at, moved = hashes[rank] & mask, 0
-        while slots[at] >= 0:  # the piece that was there goes to its other slot
-            slots[at], rank = rank, slots[at]
-            own = hashes[rank] & mask
-            at, moved = (hashes[rank] >> 32 & mask if at == own else own), moved + 1
-            if moved > 1000:
-                raise ValueError("too many ranks for the table")
-        slots[at] = rank
-    return F.from_json(F.lit(json.dumps({"slots": slots, "pieces": pieces}, separators=(",", ":"))), "slots array<int>, pieces array<binary>")
+    """The rank map as one literal struct: ``single`` (ids of the 256 bytes), ``shifts`` and ``cells`` (see ``pair_table``)."""
+    if max(ranks.values()) >= NONE:
+        raise ValueError(f"ranks must be below {NONE}")
+    if missing := [b for b in range(256) if bytes([b]) not in ranks]:
+        raise ValueError(f"bytes without a rank: {missing}")
+    salt, shifts, cells = pair_table(ranks)
+    sizes = {"salt": salt, "shift_mask": len(shifts) - 1, "cell_mask": len(cells) - 1}
+    parts = {"single": [ranks[bytes([b])] for b in range(256)], "shifts": shifts, "cells": cells}
+    schema = ", ".join([f"{k} long" for k in sizes] + [f"{k} array<long>" for k in parts])
+    return F.from_json(F.lit(json.dumps(sizes | parts, separators=(",", ":"))), schema)
+
+
+def _pair(table: Column, a: Column, b: Column) -> Column:
+    """The rank (and id) of two neighbouring ids together, else NONE; beside a word's end there is no id."""
+
+    def found(key: Column, h: Column) -> Column:
+        place = F.shiftrightunsigned(h, 32).bitwiseXOR(F.get(table["shifts"], h.bitwiseAND(table["shift_mask"]))).bitwiseAND(table["cell_mask"])
+        return let(F.get(table["cells"], place), lambda c: F.when(F.shiftright(c, BITS) == key, c.bitwiseAND(F.lit(NONE))).otherwise(F.lit(NONE)))
+
+    return let(F.shiftleft(a, BITS).bitwiseOR(b), lambda key: let(F.xxhash64(key.bitwiseXOR(table["salt"])), lambda h: found(key, h)))
+
 
+def _id(entry: Column) -> Column:
+    return entry.bitwiseAND(F.lit(NONE))
 
-def _rank(table: Column, piece: Column) -> Column:
-    def at(slot: Column) -> Column:
-        return F.get(table["slots"], slot.bitwiseAND(F.lit(SLOTS - 1)).cast("int"))
 
-    def held(rank: Column) -> Column:
-        return F.get(table["pieces"], rank) == piece
+def _entry(rank: Column, low: Column) -> Column:
+    return F.shiftleft(rank, LOW_BITS).bitwiseOR(low)
 
-    h = F.xxhash64(piece)
-    one, two = at(h), at(F.shiftrightunsigned(h, 32))
-    return F.when(held(one), one).when(held(two), two).otherwise(F.lit(NONE))
 
+def _step(table: Column, s: Column) -> Column:
+    """One merge: the entry of lowest rank takes in its right neighbour, and both pairs beside it are looked up."""
 
-def _ranks(table: Column, pieces: Column) -> Column:
-    return F.transform(pieces, lambda p: _rank(table, p))
+    def joined(lowest: Column, p: Column) -> Column:
+        def beside(rank: Column) -> Column:
+            before, after = F.get(s, p - 2), F.get(s, p + 1)
+            left = _entry(_pair(table, _id(before), rank), before.bitwiseAND(F.lit(LOW)))
+            own = _entry(_pair(table, rank, _id(after)), lowest.bitwiseAND(F.lit(LOW - NONE)).bitwiseOR(rank))
+            return F.concat(F.slice(s, F.lit(1), p - 2), F.array(left, own), F.slice(s, p + 2, F.size(s)))
 
+        return let(F.shiftright(lowest, LOW_BITS), beside)
 
-def _step(buckets: Column, s: Column) -> Column:
-    pieces, ranks = s["pieces"], s["ranks"]
+    return let(F.array_min(s), lambda lowest: F.when(lowest >= F.lit(LAST), s).otherwise(let(F.array_position(s, lowest).cast("int"), lambda p: joined(lowest, p))))
 
-    def joined(p: Column, whole: Column) -> Column:
-        beside = F.array_compact(F.array(F.concat(F.get(pieces, p - 2), whole), F.concat(whole, F.get(pieces, p + 1))))
-        return F.struct(
-            F.concat(F.slice(pieces, F.lit(1), p - 1), F.array(whole), F.slice(pieces, p + 2, F.size(pieces))).alias("pieces"),
-            F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), _ranks(buckets, beside), F.slice(ranks, p + 2, F.size(pieces))).alias("ranks"),
-        )
 
-    at = lambda m: F.array_position(ranks, m).cast("int")
-    return let(F.array_min(ranks), lambda m: F.when(m == NONE, s).otherwise(let(at(m), lambda p: let(F.concat(F.get(pieces, p - 1), F.get(pieces, p)), lambda whole: joined(p, whole)))))
+def fold(word: Column, table: Column) -> Column:
+    """The ids of one non-empty word.
 
+    An entry of the state is one long: rank of the pair it begins, place of its first byte, id. So the smallest entry is the
+    leftmost pair of lowest rank. An entry without rank stands at both ends.
+    """
+    end = F.array(F.lit(LAST | NONE))
 
-def fold(word: Column, buckets: Column) -> Column:
-    """The ids of one non-empty word."""
+    def entries(ids: Column) -> Column:
+        low = lambda x, i: F.shiftleft(i.cast("long"), BITS).bitwiseOR(x)
+        return F.concat(end, F.transform(ids, lambda x, i: _entry(_pair(table, x, F.get(ids, i + 1)), low(x, i))), end)
 
-    def merged(data: Column) -> Column:
-        n = F.length(data)
-        single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(data, i, F.lit(1)))
-        pairs = lambda c: F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda x, y: F.concat(x, y))
-        start = let(single, lambda c: F.struct(c.alias("pieces"), _ranks(buckets, pairs(c)).alias("ranks")))
-        return _ranks(buckets, F.aggregate(F.sequence(F.lit(1), n), start, lambda s, _: _step(buckets, s), lambda s: s["pieces"]))
+    def merged(ids: Column) -> Column:
+        steps = F.sequence(F.lit(1), F.size(ids))
+        return F.aggregate(steps, entries(ids), lambda s, _: _step(table, s), lambda s: F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda e: _id(e).cast("int")))
 
-    return let(F.encode(word, "UTF-8"), lambda data: let(_ranks(buckets, F.array(data)), lambda own: F.when(F.get(own, F.lit(0)) != NONE, own).otherwise(merged(data))))
+    # one character for each byte
+    single = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
+    return let(F.transform(single, lambda c: F.get(table["single"], F.ascii(c))), merged)
 
 
 class Codec:
     """A rank file and its pattern as column functions."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        if apart := [piece for piece in ranks if len(merged_pieces(piece, ranks)) > 1]:
+            raise ValueError(f"{len(apart)} pieces do not come out of their own bytes, such as {apart[0]!r}")
         self.pattern, self.literal = java_pattern(pattern), rank_literal(ranks)
         self.pieces = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
