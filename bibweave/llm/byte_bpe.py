@@ -34,6 +34,8 @@ BITS, LOW_BITS = 18, 45
 #: No such pair; the id at both ends of a word.
 NONE = (1 << BITS) - 1
 LOW, LAST = (1 << LOW_BITS) - 1, NONE << LOW_BITS
+#: Rows of a batch that are worked on at once.
+PART = 256
 #: Shifts tried at once when the table is built.
 TRIED = 256
 #: What \s stands for in the patterns (the property White_Space); Java's own \s is ASCII only.
@@ -168,6 +170,11 @@ def fold(word: Column, table: Column) -> Column:
     return let(F.transform(single, lambda c: F.get(table["single"], F.ascii(c))), merged)
 
 
+def in_parts(lists: pa.Array, work) -> pa.Array:
+    """``work`` done on a bounded number of rows at a time, so that its temporary arrays stay small beside a batch."""
+    return pa.concat_arrays([work(lists.slice(at, PART)) for at in range(0, max(len(lists), 1), PART)])
+
+
 class Codec:
     """A rank file and its pattern as column functions."""
 
@@ -209,6 +216,9 @@ class Codec:
 
         @F.arrow_udf("struct<ids: array<int>, cold: array<int>>")
         def looked_up(hashes: pa.Array) -> pa.Array:
+            return in_parts(hashes, some)
+
+        def some(hashes: pa.Array) -> pa.Array:
             """Ids where the word's hash is known, else -1 - k for the k-th distinct unknown word of the text."""
             h, offsets, ids = shared.value
             flat, ends = hashes.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(hashes).to_numpy())])
@@ -246,7 +256,11 @@ class Codec:
 
         @F.arrow_udf("binary")
         def joined(lists: pa.Array) -> pa.Array:
-            parts = pa.array(pieces, pa.binary()).take(lists.flatten())
+            table = pa.array(pieces, pa.binary())
+            return in_parts(lists, lambda part: some(part, table))
+
+        def some(lists: pa.Array, pieces: pa.Array) -> pa.Array:
+            parts = pieces.take(lists.flatten())
             ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
             return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts), b"").cast(pa.binary())
 
