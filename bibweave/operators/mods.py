@@ -13,8 +13,9 @@ c = F.col
 _CODE, _SUB, _KIND = "publicationTypeCode", "publicationSubTypeCode", "publicationType"
 
 
-def _genre(content: str, code: str, svep: str, label: str, kev: str | None, sub: str | None = None) -> list[tuple]:
-    rows = [("diva", "contentTypeCode", None, content), ("diva", _CODE, None, code)]
+def _genre(content: str | None, code: str, svep: str, label: str, kev: str | None, sub: str | None = None) -> list[tuple]:
+    rows = [("diva", "contentTypeCode", None, content)] if content else []
+    rows += [("diva", _CODE, None, code)]
     rows += [("diva", _SUB, None, sub)] if sub else []
     rows += [("svep", _KIND, None, svep), ("diva", _KIND, "eng", label)]
     return rows + ([("kev", _KIND, "eng", kev)] if kev else [])
@@ -40,6 +41,7 @@ GENRE_ELEMENTS = {
     "collection": _genre("science", "collection", "sam", "Collection (editor)", "book"),
     "bookReview": _genre("science", "bookReview", "rec", "Article, book review", "article"),
     "book": _genre("science", "book", "bok", "Book", "book"),
+    "patent": _genre(None, "patent", "pat", "Patent", "patent"),
     "other": _genre("other", "other", "ovr", "Other", None),
 }
 CONFERENCE_GENRES = ["conferencePaperPublished", "articleConferencePaper", "conferenceProceedings"]
@@ -210,21 +212,21 @@ _TITLE = "struct<`@lang`:string,`@type`:string,title:string,subTitle:string>"
 SCHEMA = f"""
   genre array<{_TEXT}>,
   name array<struct<`@type`:string,`@authority`:string,`@xlink:href`:string,namePart:array<{_TEXT}>,
-    role:struct<roleTerm:{_TEXT}>,affiliation:array<string>,description:array<string>>>,
+    role:array<struct<roleTerm:array<{_TEXT}>>>,affiliation:array<string>,description:array<string>>>,
   titleInfo array<{_TITLE}>,
-  language array<struct<`@objectPart`:string,languageTerm:{_TEXT}>>,
-  originInfo struct<publisher:string,dateIssued:string,dateOther:array<{_TEXT}>>,
-  physicalDescription struct<form:{_TEXT},extent:string>,
+  language array<struct<`@objectPart`:string,languageTerm:array<{_TEXT}>>>,
+  originInfo array<struct<publisher:array<string>,dateIssued:array<string>,dateOther:array<{_TEXT}>>>,
+  physicalDescription array<struct<form:array<{_TEXT}>,extent:array<string>>>,
   identifier array<{_TEXT}>,
-  typeOfResource string,
-  relatedItem array<struct<`@type`:string,titleInfo:{_TITLE},note:array<{_TEXT}>,identifier:array<{_TEXT}>,genre:{_TEXT},
+  typeOfResource array<string>,
+  relatedItem array<struct<`@type`:string,titleInfo:{_TITLE},note:array<{_TEXT}>,identifier:array<{_TEXT}>,genre:array<{_TEXT}>,
     part:struct<detail:array<struct<`@type`:string,number:string>>,extent:struct<start:string,`end`:string>>>>,
   subject array<struct<`@lang`:string,`@authority`:string,`@xlink:href`:string,topic:array<string>,genre:string>>,
   abstract array<{_TEXT}>,
   note array<{_TEXT}>,
   location array<struct<url:array<{_TEXT}>>>,
-  recordInfo struct<recordOrigin:string,recordContentSource:string,recordCreationDate:string,recordChangeDate:string,
-    recordIdentifier:string>,
+  recordInfo array<struct<recordOrigin:string,recordContentSource:string,recordCreationDate:string,recordChangeDate:string,
+    recordIdentifier:string>>,
   `__bad` string
 """
 OPTIONS = {"attributePrefix": "@", "valueTag": "#", "columnNameOfCorruptRecord": "__bad"}
@@ -238,23 +240,26 @@ def parse(records: DataFrame, doc: str = "mods") -> DataFrame:
     """
     struct = F.explode(F.array(F.from_xml(c(doc), SCHEMA, OPTIONS))).alias("m")
     m = records.select("*", struct).where(c("m").isNotNull() & c("m.__bad").isNull())
-    pid = F.regexp_replace("m.recordInfo.recordIdentifier", "^.*?:", "").try_cast("int")
+    identifier = F.get(F.filter("m.recordInfo", lambda r: r["recordIdentifier"].isNotNull()), 0)["recordIdentifier"]
+    pid = F.regexp_replace(identifier, "^.*?:", "").try_cast("bigint")
     return m.withColumn("pid", pid)
 
 
+def _all_of(rows: Column, field: str) -> Column:
+    """The elements of an array field of all rows."""
+    return F.flatten(F.filter(F.transform(rows, lambda r: r[field]), lambda a: a.isNotNull()))
+
+
 def tables(parsed: DataFrame) -> dict[str, DataFrame]:
-    """The fifteen tables of parsed records, each led by ``pid``."""
+    """The fifteen tables of parsed records, each led by ``pid``. Of an element that repeats every one is a row."""
 
     def each(field: str, **cols: str) -> DataFrame:
         rows = parsed.select("pid", F.explode(f"m.{field}").alias("x"))
         return rows.select("pid", *[c(p).alias(n) for n, p in cols.items()])
 
-    def one(field: str, **cols: str) -> DataFrame:
-        return parsed.where(c(f"m.{field}").isNotNull()).select("pid", *[c(f"m.{field}.{p}").alias(n) for n, p in cols.items()])
-
     names = parsed.select("pid", F.posexplode("m.name").alias("id", "x")).select(
         "pid", (c("id") + 1).alias("id"), c("x.`@type`").alias("type"), c("x.`@authority`").alias("aut"),
-        c("x.`@xlink:href`").alias("href"), c("x.role.roleTerm.`#`").alias("role"), "x.namePart",
+        c("x.`@xlink:href`").alias("href"), F.explode_outer(_all_of(c("x.role"), "roleTerm")["#"]).alias("role"), "x.namePart",
         c("x.affiliation").alias("affs"), c("x.description").alias("descs"),
     )
     part = lambda kind: F.get(F.transform(F.filter("namePart", lambda p: p["@type"] == kind), lambda p: p["#"]), 0)
@@ -274,15 +279,19 @@ def tables(parsed: DataFrame) -> dict[str, DataFrame]:
         "authors": people.select(
             "pid", "id", "aut", "href", "role", "family", "given", "affiliation", F.explode_outer("descs").alias("description")),
         "titleInfo": each("titleInfo", title="x.title", subtitle="x.subTitle", lang="x.`@lang`", type="x.`@type`"),
-        "language": each("language", language_term="x.languageTerm.`#`", language_type="x.languageTerm.`@type`",
-                         language_authority="x.languageTerm.`@authority`", object_part="x.`@objectPart`"),
-        "originInfo": parsed.where(c("m.originInfo").isNotNull()).select(
-            "pid", c("m.originInfo.publisher").alias("publisher"), c("m.originInfo.dateIssued").alias("date_issued"),
-            F.explode_outer("m.originInfo.dateOther").alias("o")).select(
-            "pid", "publisher", "date_issued", c("o.`#`").alias("date_other"), c("o.`@type`").alias("date_other_type")),
-        "physicalDescription": one("physicalDescription", form="form.`#`", form_authority="form.`@authority`", extent="extent"),
+        "language": parsed.select("pid", F.explode("m.language").alias("x")).select("pid", "x", F.explode_outer("x.languageTerm").alias("t")).select(
+            "pid", c("t.`#`").alias("language_term"), c("t.`@type`").alias("language_type"),
+            c("t.`@authority`").alias("language_authority"), c("x.`@objectPart`").alias("object_part")),
+        "originInfo": parsed.select("pid", F.explode("m.originInfo").alias("x"))
+        .select("pid", "x", F.explode_outer("x.publisher").alias("publisher"))
+        .select("pid", "x", "publisher", F.explode_outer("x.dateIssued").alias("date_issued"))
+        .select("pid", "publisher", "date_issued", F.explode_outer("x.dateOther").alias("o"))
+        .select("pid", "publisher", "date_issued", c("o.`#`").alias("date_other"), c("o.`@type`").alias("date_other_type")),
+        "physicalDescription": parsed.select("pid", F.explode("m.physicalDescription").alias("x"))
+        .select("pid", "x", F.explode_outer("x.form").alias("f"))
+        .select("pid", c("f.`#`").alias("form"), c("f.`@authority`").alias("form_authority"), F.explode_outer("x.extent").alias("extent")),
         "identifier": each("identifier", id_name="x.`@type`", id_value="x.`#`", id_label="x.`@displayLabel`"),
-        "typeOfResource": parsed.where(c("m.typeOfResource").isNotNull()).select("pid", c("m.typeOfResource").alias("resource_type")),
+        "typeOfResource": parsed.select("pid", F.explode("m.typeOfResource").alias("resource_type")),
         "relatedItem": hosts.select(
             "pid", c("x.`@type`").alias("relateditem_type"), c("x.titleInfo.title").alias("title"),
             detail("volume").alias("volume"), detail("issue").alias("issue"),
@@ -297,8 +306,8 @@ def tables(parsed: DataFrame) -> dict[str, DataFrame]:
         "note": each("note", note="x.`#`", note_type="x.`@type`", note_lang="x.`@lang`"),
         "location": parsed.select("pid", F.explode("m.location").alias("x")).select("pid", F.explode_outer("x.url").alias("u")).select(
             "pid", c("u.`#`").alias("url"), c("u.`@displayLabel`").alias("url_display")),
-        "recordInfo": one("recordInfo", record_origin="recordOrigin", record_source="recordContentSource",
-                          record_created="recordCreationDate", record_changed="recordChangeDate", record_id="recordIdentifier"),
+        "recordInfo": each("recordInfo", record_origin="x.recordOrigin", record_source="x.recordContentSource",
+                           record_created="x.recordCreationDate", record_changed="x.recordChangeDate", record_id="x.recordIdentifier"),
     }
 
 
@@ -329,7 +338,7 @@ def linked_data(parsed: DataFrame) -> DataFrame:
     language = lambda code: F.struct(kind("Language"), F.concat(lit(LANGUAGE_BASE), code).alias("@id"), code.alias("code"))
     work = None
     for resource, label in WORK_TYPES.items():
-        test = c("m.typeOfResource") == resource
+        test = F.get("m.typeOfResource", 0) == resource
         work = F.when(test, label) if work is None else work.when(test, label)
     title = F.transform(
         rows("titleInfo"),
@@ -355,7 +364,7 @@ def linked_data(parsed: DataFrame) -> DataFrame:
             F.transform(
                 n["affiliation"], lambda a: F.struct(kind("Organization"), a.alias("name"))
             ).alias("hasAffiliation"),
-            n["role"]["roleTerm"]["#"].alias("role"),
+            _all_of(n["role"], "roleTerm")["#"].alias("role"),
         ),
     )
     classified = lambda s: F.coalesce(s["@authority"] == CLASS_AUTHORITY, F.lit(False))
@@ -394,7 +403,8 @@ def linked_data(parsed: DataFrame) -> DataFrame:
         lambda r: F.struct(kind("Work"), r["titleInfo"]["title"].alias("mainTitle")),
     )
     genre = F.transform(rows("genre"), lambda g: F.struct(F.concat(lit(STATUS_BASE), g["#"]).alias("@id")))
-    languages = F.transform(rows("language"), lambda l: language(l["languageTerm"]["#"]))
+    codes = F.filter(_all_of(rows("language"), "languageTerm"), lambda t: F.coalesce(t["@type"], lit("code")) == "code")
+    languages = F.transform(codes, lambda t: language(t["#"]))
     document = F.struct(
         lit("https://id.kb.se/context.jsonld").alias("@context"), lit("").alias("@id"), kind("Instance"),
         F.struct(
@@ -402,10 +412,7 @@ def linked_data(parsed: DataFrame) -> DataFrame:
             title.alias("hasTitle"), present(summary).alias("summary"), contribution.alias("contribution"),
             present(subject).alias("subject"), present(classification).alias("classification"), notes.alias("hasNote"),
         ).alias("instanceOf"),
-        F.when(
-            c("m.physicalDescription.extent").isNotNull(),
-            F.struct(kind("Extent"), c("m.physicalDescription.extent").alias("label")),
-        ).alias("extent"),
+        present(F.transform(_all_of(rows("physicalDescription"), "extent"), lambda x: F.struct(kind("Extent"), x.alias("label")))).alias("extent"),
         valid.alias("identifiedBy"), present(invalid).alias("incorrectlyIdentifiedBy"), present(hosts).alias("isPartOf"),
     )
     return parsed.select("pid", F.to_json(document).alias("json"))

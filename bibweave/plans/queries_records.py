@@ -218,17 +218,20 @@ def _mods_texts(spark, d):
     k, cu = c("o_orderkey").cast("string"), c("o_custkey").cast("string")
     e = lambda text: F.lit(text)
     odd = c("o_orderkey") % 2 == 1
+    more = lambda text: F.when(c("o_orderkey") % 3 == 0, text).otherwise("")
     doc = F.concat(
         e(mods.HEAD), e('<genre authority="reg" type="publicationTypeCode">article</genre><genre authority="svep">art</genre>'),
-        e('<name type="personal" authority="x" xlink:href="u1'), cu, e('"><namePart type="family">Fam'), cu, e('</namePart><namePart type="given">G</namePart><role><roleTerm type="code" authority="marcrelator">aut</roleTerm></role>'
-          '<affiliation>Aff A'), cu, e('</affiliation><affiliation>Aff B</affiliation>'), F.when(odd, F.concat(e("<description>orcid.org="), k, e("</description>"))).otherwise(e("")), e("</name>"),
+        e('<name type="personal" authority="x" xlink:href="u1'), cu, e('"><namePart type="family">Fam'), cu, e('</namePart><namePart type="given">G</namePart><role><roleTerm type="code" authority="marcrelator">aut</roleTerm></role>'),
+        more('<role><roleTerm type="code" authority="marcrelator">edt</roleTerm></role>'), e('<affiliation>Aff A'), cu, e('</affiliation><affiliation>Aff B</affiliation>'), F.when(odd, F.concat(e("<description>orcid.org="), k, e("</description>"))).otherwise(e("")), e("</name>"),
         e('<name type="corporate" xlink:href="'), cu, e('"><namePart>Org '), cu, e('</namePart><role><roleTerm type="code" authority="marcrelator">pbl</roleTerm></role><description>Group</description></name>'),
         e('<titleInfo lang="eng"><title>Title '), k, e('</title><subTitle>Sub</subTitle></titleInfo><titleInfo type="alternative" lang="swe"><title>Alt</title></titleInfo>'),
         e('<language objectPart="defence"><languageTerm type="code" authority="iso639-2b">eng</languageTerm></language>'),
         e("<originInfo><publisher>P"), cu, e('</publisher><dateIssued>2001</dateIssued><dateOther type="availableFrom">2002</dateOther></originInfo>'),
+        more("<originInfo><publisher>Q</publisher><dateIssued>2003</dateIssued></originInfo>"),
         e('<physicalDescription><form authority="marcform">print</form><extent>12</extent></physicalDescription>'),
         e('<identifier type="doi">10.1/'), k, e('</identifier><identifier type="isbn" displayLabel="Print" invalid="yes">978'), k, e("</identifier>"),
         F.when(odd, e("<typeOfResource>text</typeOfResource>")).otherwise(e("<typeOfResource>moving image</typeOfResource>")),
+        more("<typeOfResource>cartographic</typeOfResource>"),
         e('<relatedItem type="host"><titleInfo><title>J'), cu, e('</title></titleInfo><identifier type="issn">0378-5955</identifier><identifier type="eissn">1234-5679</identifier><part><detail type="volume"><number>'),
         k, e('</number></detail><detail type="issue"><number>2</number></detail><extent><start>1</start><end>9</end></extent></part></relatedItem>'),
         e('<subject lang="eng"><topic>t1</topic><topic>t2</topic></subject><subject lang="eng" authority="uka.se" xlink:href="'), cu, e('"><topic>Area</topic></subject>'),
@@ -239,18 +242,18 @@ def _mods_texts(spark, d):
     return o.select("o_orderkey", doc.alias("mods"))
 
 
-_PID = "CAST(o_orderkey AS INT) AS pid"
+_PID = "CAST(o_orderkey AS BIGINT) AS pid"
 _EXPLODE = {
     "genre": f"""SELECT {_PID}, 'article' AS "desc", 'reg' AS aut, 'publicationTypeCode' AS type, CAST(NULL AS VARCHAR) AS lang FROM orders UNION ALL SELECT o_orderkey, 'art', 'svep', NULL, NULL FROM orders""",
     "orgs": f"""SELECT {_PID}, CAST(2 AS INT) AS id, CAST(NULL AS VARCHAR) AS aut, CAST(o_custkey AS VARCHAR) AS href, 'pbl' AS role, concat('Org ', o_custkey) AS org, CAST(NULL AS VARCHAR) AS aff, 'Group' AS "desc" FROM orders""",
-    "authors": f"""SELECT {_PID}, CAST(1 AS INT) AS id, 'x' AS aut, concat('u1', o_custkey) AS href, 'aut' AS role, concat('Fam', o_custkey) AS family, 'G' AS given, unnest([concat('Aff A', o_custkey), 'Aff B']) AS affiliation,
-      CASE WHEN o_orderkey % 2 = 1 THEN concat('orcid.org=', o_orderkey) END AS description FROM orders""",
+    "authors": f"""SELECT {_PID}, CAST(1 AS INT) AS id, 'x' AS aut, concat('u1', o_custkey) AS href, role, concat('Fam', o_custkey) AS family, 'G' AS given, unnest([concat('Aff A', o_custkey), 'Aff B']) AS affiliation,
+      CASE WHEN o_orderkey % 2 = 1 THEN concat('orcid.org=', o_orderkey) END AS description FROM (SELECT *, unnest(CASE WHEN o_orderkey % 3 = 0 THEN ['aut', 'edt'] ELSE ['aut'] END) AS role FROM orders)""",
     "titleInfo": f"""SELECT {_PID}, concat('Title ', o_orderkey) AS title, 'Sub' AS subtitle, 'eng' AS lang, CAST(NULL AS VARCHAR) AS type FROM orders UNION ALL SELECT o_orderkey, 'Alt', NULL, 'swe', 'alternative' FROM orders""",
     "language": f"""SELECT {_PID}, 'eng' AS language_term, 'code' AS language_type, 'iso639-2b' AS language_authority, 'defence' AS object_part FROM orders""",
-    "originInfo": f"""SELECT {_PID}, concat('P', o_custkey) AS publisher, '2001' AS date_issued, '2002' AS date_other, 'availableFrom' AS date_other_type FROM orders""",
+    "originInfo": f"""SELECT {_PID}, concat('P', o_custkey) AS publisher, '2001' AS date_issued, '2002' AS date_other, 'availableFrom' AS date_other_type FROM orders UNION ALL SELECT o_orderkey, 'Q', '2003', NULL, NULL FROM orders WHERE o_orderkey % 3 = 0""",
     "physicalDescription": f"""SELECT {_PID}, 'print' AS form, 'marcform' AS form_authority, '12' AS extent FROM orders""",
     "identifier": f"""SELECT {_PID}, 'doi' AS id_name, concat('10.1/', o_orderkey) AS id_value, CAST(NULL AS VARCHAR) AS id_label FROM orders UNION ALL SELECT o_orderkey, 'isbn', concat('978', o_orderkey), 'Print' FROM orders""",
-    "typeOfResource": f"""SELECT {_PID}, CASE WHEN o_orderkey % 2 = 1 THEN 'text' ELSE 'moving image' END AS resource_type FROM orders""",
+    "typeOfResource": f"""SELECT {_PID}, CASE WHEN o_orderkey % 2 = 1 THEN 'text' ELSE 'moving image' END AS resource_type FROM orders UNION ALL SELECT o_orderkey, 'cartographic' FROM orders WHERE o_orderkey % 3 = 0""",
     "relatedItem": f"""SELECT {_PID}, 'host' AS relateditem_type, concat('J', o_custkey) AS title, CAST(o_orderkey AS VARCHAR) AS volume, '2' AS issue, '1' AS part_extent_start, '9' AS part_extent_end,
       unnest(['issn', 'eissn']) AS identifier_type, unnest(['0378-5955', '1234-5679']) AS identifier FROM orders""",
     "subjects": f"""SELECT {_PID}, 'eng' AS lang, CAST(NULL AS VARCHAR) AS authority, CAST(NULL AS VARCHAR) AS href, unnest(['t1', 't2']) AS topic FROM orders UNION ALL SELECT o_orderkey, 'eng', 'uka.se', CAST(o_custkey AS VARCHAR), 'Area' FROM orders""",
@@ -260,12 +263,12 @@ _EXPLODE = {
     "recordInfo": f"""SELECT {_PID}, 'u1x' AS record_origin, 'src' AS record_source, '2001-01-01' AS record_created, '2002-01-01' AS record_changed, concat('rec:', o_orderkey) AS record_id FROM orders""",
 }
 for _t, _sql in _EXPLODE.items():
-    @query(f"n17_{_t.lower()}", f"SELECT * REPLACE (CAST(pid AS INT) AS pid) FROM ({_sql})")
+    @query(f"n17_{_t.lower()}", f"SELECT * REPLACE (CAST(pid AS BIGINT) AS pid) FROM ({_sql})")
     def _n17(spark, d, _t=_t):
         return mods.tables(mods.parse(_mods_texts(spark, d)))[_t]
 
 
-@query("n18_linked_data", """SELECT CAST(o_orderkey AS INT) AS pid, CASE WHEN o_orderkey % 2 = 1 THEN 'Text' ELSE 'MovingImage' END AS work_type, concat('Title ', o_orderkey) AS title, 'VariantTitle' AS second_title,
+@query("n18_linked_data", """SELECT CAST(o_orderkey AS BIGINT) AS pid, CASE WHEN o_orderkey % 2 = 1 THEN 'Text' ELSE 'MovingImage' END AS work_type, concat('Title ', o_orderkey) AS title, 'VariantTitle' AS second_title,
 concat('About ', o_orderkey) AS summary, concat('Fam', o_custkey) AS family, concat('Org ', o_custkey) AS org, 't1 t2' AS topic, CAST(o_custkey AS VARCHAR) AS class_code,
 'https://id.kb.se/term/swepub/Accepted' AS status, concat('10.1/', o_orderkey) AS doi, concat('978', o_orderkey) AS invalid_isbn, concat('J', o_custkey) AS host FROM orders""")
 def n18(spark, d):
@@ -307,7 +310,7 @@ sp AS (SELECT li.*, n, 0 AS r FROM li JOIN n USING (sid) WHERE n >= 4 AND seq =
   UNION ALL SELECT li.*, n, 2 FROM li JOIN n USING (sid) WHERE n >= 4 AND seq = hi UNION ALL SELECT li.*, n, 3 FROM li JOIN n USING (sid) WHERE n >= 4 AND seq = hi)"""
 
 
-@query("x11_rendered_authors", f"""WITH {_LI} SELECT CAST(sid AS INT) AS pid, CAST(row_number() OVER (PARTITION BY sid ORDER BY r, seq) AS INT) AS id,
+@query("x11_rendered_authors", f"""WITH {_LI} SELECT CAST(sid AS BIGINT) AS pid, CAST(row_number() OVER (PARTITION BY sid ORDER BY r, seq) AS INT) AS id,
 CASE WHEN r = 3 THEN 'et al.' WHEN s % 4 = 0 THEN concat('$$$Sur & ', s) ELSE concat('Sur & ', s) END AS family,
 CASE WHEN r <> 3 THEN CASE WHEN s % 4 = 0 THEN concat('Own University, D', s) ELSE 'Ext; X' END END AS affiliation,
 CASE WHEN r <> 3 AND s % 5 = 0 THEN concat('orcid.org=0000-', s) END AS description FROM sp JOIN orders ON o_orderkey = sid""")

@@ -280,10 +280,10 @@ def t05(spark, d):
     return rich.select("identifier", "PID", "PID_many", "status", F.get_json_object("json", "$.titleInfo[0].title").alias("title"))
 
 
-@query("s17_collection_scan", "SELECT CAST(o_orderkey AS INT) AS pid, 2 AS n_titles, CASE WHEN o_orderkey % 2 = 1 THEN 'text' ELSE 'moving image' END AS resource_type FROM orders")
+@query("s17_collection_scan", "SELECT CAST(o_orderkey AS BIGINT) AS pid, 2 AS n_titles, concat(CASE WHEN o_orderkey % 2 = 1 THEN 'text' ELSE 'moving image' END, CASE WHEN o_orderkey % 3 = 0 THEN '; cartographic' ELSE '' END) AS resource_types FROM orders")
 def s17(spark, d):
     """Collection files scanned by their record element, with the whole schema."""
     parts = collections(_mods_texts(spark, d), "o_orderkey", by_width("o_orderkey", 4096), 500)
     rows = xml.read_collection(spark, write_collections(parts, run_dir(spark, "records")), mods.SCHEMA)
-    pid = F.regexp_extract("recordInfo.recordIdentifier", r"(\d+)$", 1).cast("int")
-    return rows.select(pid.alias("pid"), F.size("titleInfo").alias("n_titles"), c("typeOfResource").alias("resource_type"))
+    pid = F.regexp_extract(F.get("recordInfo", 0)["recordIdentifier"], r"(\d+)$", 1).cast("bigint")
+    return rows.select(pid.alias("pid"), F.size("titleInfo").alias("n_titles"), F.array_join("typeOfResource", "; ").alias("resource_types"))
