@@ -6,9 +6,10 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
-from bibweave.llm import exact_dedup, language_id, simhash, suffix_dedup, url_filter, warc
+from bibweave.llm import byte_bpe, exact_dedup, language_id, simhash, suffix_dedup, url_filter, warc
 from bibweave.llm.token_counts import Counter
 from bibweave.llm.wavelet_tokens import WaveletMatrix
 from bibweave.llm.word_cache import WordCache
@@ -128,3 +129,28 @@ def test_records_of_a_stream_of_members():
     assert warc.read_record(gzip.compress(one))["url"] == "http://a/%0D%0A"
     with pytest.raises(ValueError):
         list(warc.records(iter([one[:-10]])))
+
+
+def test_pair_table_leads_every_pair_to_its_rank():
+    pieces = [bytes([b]) for b in range(256)] + [b"ab", b"bc", b"abc", b"cc", b"abcc"]
+    ranks = {p: i for i, p in enumerate(pieces)}
+    salt, shifts, cells = byte_bpe.pair_table(ranks)
+
+    def looked_up(a, b):
+        key = a << byte_bpe.BITS | b
+        h = xxhash.xxh64_intdigest((key ^ salt).to_bytes(8, "little"), 42)
+        cell = cells[(h >> 32 ^ shifts[h & (len(shifts) - 1)]) & (len(cells) - 1)]
+        return cell & byte_bpe.NONE if cell >> byte_bpe.BITS == key else None
+
+    for x, a in ranks.items():
+        for y, b in ranks.items():
+            assert looked_up(a, b) == ranks.get(x + y)
+    assert byte_bpe.merged_pieces(b"abccab", ranks) == [b"abcc", b"ab"]
+
+
+def test_codec_refuses_pieces_that_no_merge_gives():
+    ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256}
+    with pytest.raises(ValueError, match="own bytes"):
+        byte_bpe.Codec(ranks, r"\S+")
+    with pytest.raises(ValueError, match="without a rank"):
+        byte_bpe.rank_literal({b"a": 0})
