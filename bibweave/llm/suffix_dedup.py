@@ -19,8 +19,9 @@ or before in the same one. Overlaps count, and everything is judged on the input
 The symbols go in column by column as for short reads; whole documents would need as many rounds as the longest has bytes, each
 over the whole collection, so the collection holds segments of at most ``length + most - 1`` bytes instead of documents.
 
-A null text is empty. A row with a null id has no place in the order: it is neither compared nor cut. Rows that repeat an id
-stand at one place: what they share there is one occurrence, and each is cut by the extents found for the id. No rows: no rows.
+A null text is empty. A row with a null id has no place in the order: it is neither compared nor cut. Rows that repeat an id and
+text are one document, and each is cut alike; those that repeat an id with other texts are documents of their own, ordered by the
+SHA-256 of the text. No rows: no rows.
 """
 
 from __future__ import annotations
@@ -148,6 +149,18 @@ def _unpacked(body: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:
     return [cut(i) for i in range(columns)], body[4 + 8 * n * columns :]
 
 
+def _parted(parts: list[bytes], doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal parts the earliest in the order of documents goes, those at other places stay; one met again at its place does neither."""
+    go, stay, first = [], [], {}
+    for i in np.lexsort((start, doc)).tolist():
+        j = first.setdefault(parts[i], i)
+        if j == i:
+            go.append(i)
+        elif doc[i] != doc[j] or start[i] != start[j]:
+            stay.append(i)
+    return np.sort(np.array(go, np.int64)), np.sort(np.array(stay, np.int64))
+
+
 def _sent(marks, owners: int, length: int, gram: int, most: int):
     """Marked segments, the first of equal ones in the run, with their bytes; the extents of the others, merged. Packed by owner."""
 
@@ -173,12 +186,9 @@ def _sent(marks, owners: int, length: int, gram: int, most: int):
             ends = np.cumsum(sizes)
             doc = np.searchsorted(ends, begin, side="right")
             start = begin - (ends - sizes)[doc]
-            raw, first, late = data.tobytes(), {}, np.zeros(len(key), bool)
+            raw = data.tobytes()
             parts = [raw[b : b + k + length - 1] for b, k in zip(begin.tolist(), n.tolist())]
-            # the earliest copy in the order of documents is the one that goes
-            for i in np.lexsort((start, order[doc])).tolist():
-                late[i] = first.setdefault(parts[i], i) != i
-            go, stay = np.flatnonzero(~late), np.flatnonzero(late)
+            go, stay = _parted(parts, order[doc], start)
             held.append((key[go], order[doc[go]], start[go], n[go]))
             strings += [parts[i] for i in go.tolist()]
             size += int(n[go].sum()) + len(go) * (length - 1)
@@ -430,8 +440,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
 
 
+def _ordered(rows: DataFrame) -> DataFrame:
+    """``rows`` with order numbers ``doc`` in place of ids (``doc_id``): one for each id and text, none for a null id."""
+    if rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return rows.withColumn("doc", F.col("doc_id"))
+    rows = rows.withColumn("sha", F.unhex(F.sha2("text", 256)))
+    keys = rows.where("doc_id is not null").select("doc_id", "sha").distinct().repartitionByRange("doc_id", "sha").sortWithinPartitions("doc_id", "sha")
+    numbers = cut_lineage(keys.withColumn("doc", F.monotonically_increasing_id()), "order")
+    return rows.join(numbers, ["doc_id", "sha"], "left").drop("sha")
+
+
 def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", set_bits: int = SET_BITS) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, spans (removed runs in bytes), kept (remaining bytes)."""
-    rows = chosen(docs, key, text).select(F.col("doc_id").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = cut_lineage(extents(rows.where("doc is not null"), length, set_bits), "repeats").groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    return rows.join(spans, "doc", "left").select(F.col("doc").alias("doc_id"), "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary")
+    rows = _ordered(chosen(docs, key, text).select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    spans = cut_lineage(extents(rows.where("doc is not null").select("doc", "text"), length, set_bits), "repeats").groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    return rows.join(spans, "doc", "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary")
