@@ -6,9 +6,10 @@ or before in the same one. Overlaps count, and everything is judged on the input
 1. Every string of ``length`` bytes has a minimiser, the smallest hash of its ``gram``-byte substrings. Maximal runs of
    neighbouring strings with one minimiser (``most`` strings at most) are one segment, so equal strings lie in segments of equal
    minimiser. Tasks count minimisers; owners mark those met more than once in a bit set of fixed size, which is broadcast. What
-   it lets through by accident costs work only.
+   it lets through by accident costs work only. Minimisers of more than ``heavy`` segments are told apart.
 2. Segments with a marked minimiser go to the owner of the minimiser. Of segments with equal bytes in one task only the first
-   goes; the later ones are repeats whatever comes, and their extent is sent to the owner of the document instead.
+   goes; the later ones are repeats whatever comes, and their extent is sent to the owner of the document instead. Segments of a
+   heavy minimiser are cut to their single strings, which go by their own hashes: equal ones still meet, and no owner gets all.
 3. An owner merges equal segments (all but the first are repeats), narrows the others to the parts whose strings occur again
    by their hashes, merges equal parts, and sorts the parts that still differ as a collection: each round puts one more symbol
    of every part, from the last to the first, into the collection's Burrows-Wheeler transform, and updates the common prefixes
@@ -41,6 +42,8 @@ from bibweave.session import cut_lineage
 SET_BITS = 1 << 27
 #: Strings in a segment, bytes of the hashed substrings, bytes of text taken at once, and bytes of a sorted collection.
 MOST, GRAM, TAKE, COLLECTION = 64, 48, 2_000_000, 4_000_000
+#: Segments with one minimiser that may go to one owner; at most some 2.7 MB.
+HEAVY = 16_384
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -99,36 +102,44 @@ def _taken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
 
 
 def _met(owners: int, bits: int, length: int, gram: int, most: int):
-    """Per owner of a range of slots the distinct slots of the task, sorted, and whether the task met one twice."""
+    """Per owner of a range of slots the distinct slots of a run, sorted, whether the run met one twice, and how often then."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, sizes in _taken(batches):
             key, begin, n, hashes = segments(data, sizes, length, gram, most)
             slots, place, count = np.unique((key % np.uint64(bits)).astype(np.int64), return_inverse=True, return_counts=True)
-            count[place[_met_within(key, begin, n, hashes, length - gram + 1)]] += 1
+            repeats = np.zeros(len(slots), bool)
+            repeats[place[_met_within(key, begin, n, hashes, length - gram + 1)]] = True
             owner = slots * owners // bits
             cuts = np.searchsorted(owner, np.arange(owners + 1))
             for o in range(owners):
                 if cuts[o] < cuts[o + 1]:
                     part = slots[cuts[o] : cuts[o + 1]]
                     gaps = np.diff(part, prepend=-(-o * bits // owners)).astype("<u4")
-                    twice = np.packbits(count[cuts[o] : cuts[o + 1]] > 1)
-                    yield pa.RecordBatch.from_pydict({"owner": pa.array([o], pa.int32()), "gaps": [gaps.view(np.uint8).reshape(-1, 4).T.tobytes()], "twice": [twice.tobytes()]})
+                    number = count[cuts[o] : cuts[o + 1]]
+                    twice = (number > 1) | repeats[cuts[o] : cuts[o + 1]]
+                    yield pa.RecordBatch.from_pydict({"owner": pa.array([o], pa.int32()), "gaps": [gaps.view(np.uint8).reshape(-1, 4).T.tobytes()], "twice": [np.packbits(twice).tobytes()], "numbers": [number[twice].astype("<u4").tobytes()]})
 
     return run
 
 
-def _marked(owners: int, bits: int):
+def _marked(owners: int, bits: int, heavy: int):
+    """The slots of an owner met more than once, as bits, and those of more than ``heavy`` segments, as numbers."""
+
     def run(key: tuple[pa.Scalar, ...], groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         o = int(key[0].as_py())
         base, end = -(-o * bits // owners), -(-(o + 1) * bits // owners)
-        seen, again = np.zeros(end - base, bool), np.zeros(end - base, bool)
+        seen, again = np.zeros(end - base, np.uint32), np.zeros(end - base, bool)
         for batch in groups:
-            for gaps, twice in zip(batch.column("gaps").to_pylist(), batch.column("twice").to_pylist()):
+            for gaps, twice, numbers in zip(*(batch.column(c).to_pylist() for c in ("gaps", "twice", "numbers"))):
                 slots = np.cumsum(np.ascontiguousarray(np.frombuffer(gaps, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
-                again[slots] |= seen[slots] | np.unpackbits(np.frombuffer(twice, np.uint8), count=len(slots)).view(bool)
-                seen[slots] = True
-        yield pa.RecordBatch.from_pydict({"base": pa.array([base], pa.int64()), "size": pa.array([end - base], pa.int64()), "marks": [np.packbits(again).tobytes()]})
+                twice = np.unpackbits(np.frombuffer(twice, np.uint8), count=len(slots)).view(bool)
+                again[slots] |= (seen[slots] > 0) | twice
+                number = np.ones(len(slots), np.uint32)
+                number[twice] = np.frombuffer(numbers, "<u4")
+                seen[slots] = np.minimum(seen[slots].astype(np.uint64) + number, np.uint64(0xFFFFFFFF))
+        many = base + np.flatnonzero(seen > heavy)
+        yield pa.RecordBatch.from_pydict({"base": pa.array([base], pa.int64()), "size": pa.array([end - base], pa.int64()), "marks": [np.packbits(again).tobytes()], "heavy": [many.astype("<i8").tobytes()]})
 
     return run
 
@@ -165,7 +176,7 @@ def _sent(marks, owners: int, length: int, gram: int, most: int):
     """Marked segments, the first of equal ones in the run, with their bytes; the extents of the others, merged. Packed by owner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, held, strings, size = marks.value, [], [], 0
+        (table, heavy), held, strings, size = marks.value, [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             key, doc, start, n = (np.concatenate(x) for x in zip(*held))
@@ -182,13 +193,24 @@ def _sent(marks, owners: int, length: int, gram: int, most: int):
             hit = np.flatnonzero(table[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & np.uint8(1))
             if not len(hit):
                 continue
-            key, begin, n = key[hit], begin[hit], n[hit]
+            key, begin, n, slot = key[hit], begin[hit], n[hit], slot[hit]
             ends = np.cumsum(sizes)
             doc = np.searchsorted(ends, begin, side="right")
             start = begin - (ends - sizes)[doc]
             raw = data.tobytes()
             parts = [raw[b : b + k + length - 1] for b, k in zip(begin.tolist(), n.tolist())]
             go, stay = _parted(parts, order[doc], start)
+            large = np.isin(slot[go], heavy)
+            if large.any():
+                whole, go, light = go[large], go[~large], len(key)
+                place = np.arange(n[whole].sum()) - np.repeat(np.cumsum(n[whole]) - n[whole], n[whole])
+                at = np.repeat(begin[whole], n[whole]) + place
+                key, n = np.append(key, Ranges(data).windows(length)[at]), np.append(n, np.ones(len(at), np.int64))
+                doc, start = np.append(doc, np.repeat(doc[whole], n[whole])), np.append(start, np.repeat(start[whole], n[whole]) + place)
+                single = [raw[a : a + length] for a in at.tolist()]
+                parts += single
+                first, later = _parted(single, order[doc[light:]], start[light:])
+                go, stay = np.append(go, light + first), np.append(stay, light + later)
             held.append((key[go], order[doc[go]], start[go], n[go]))
             strings += [parts[i] for i in go.tolist()]
             size += int(n[go].sum()) + len(go) * (length - 1)
@@ -404,18 +426,24 @@ def _resolved(length: int, collection: int):
     return run
 
 
-def extents(docs: DataFrame, length: int = 100, set_bits: int = SET_BITS, gram: int = GRAM, most: int = MOST, collection: int = COLLECTION) -> DataFrame:
-    """``docs``: doc (distinct order numbers), text. (doc, begin, end): bytes to remove; parts of one document may touch."""
+def sent(docs: DataFrame, length: int, set_bits: int, gram: int, most: int, heavy: int) -> DataFrame:
+    """(owner, kind, body): what goes to each of four times as many owners as there are shuffle partitions."""
     spark = docs.sparkSession
     owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
     gram = min(gram, length)
-    met = docs.mapInArrow(_met(owners, set_bits, length, gram, most), "owner int, gaps binary, twice binary")
-    table = np.zeros(set_bits, bool)
-    for base, size, marks in met.groupBy("owner").applyInArrow(_marked(owners, set_bits), "base long, size long, marks binary").toLocalIterator():
+    met = docs.mapInArrow(_met(owners, set_bits, length, gram, most), "owner int, gaps binary, twice binary, numbers binary")
+    table, many = np.zeros(set_bits, bool), [np.zeros(0, np.int64)]
+    for base, size, marks, slots in met.groupBy("owner").applyInArrow(_marked(owners, set_bits, heavy), "base long, size long, marks binary, heavy binary").toLocalIterator():
         table[base : base + size] = np.unpackbits(np.frombuffer(marks, np.uint8), count=size).view(bool)
-    shared = spark.sparkContext.broadcast(np.packbits(table))
-    sent = docs.mapInArrow(_sent(shared, 4 * owners, length, gram, most), "owner int, kind boolean, body binary")
-    return sent.repartition(owners, "owner").mapInArrow(_resolved(length, collection), "doc long, begin long, end long")
+        many.append(np.frombuffer(slots, "<i8"))
+    shared = spark.sparkContext.broadcast((np.packbits(table), np.concatenate(many)))
+    return docs.mapInArrow(_sent(shared, 4 * owners, length, gram, most), "owner int, kind boolean, body binary")
+
+
+def extents(docs: DataFrame, length: int = 100, set_bits: int = SET_BITS, gram: int = GRAM, most: int = MOST, collection: int = COLLECTION, heavy: int = HEAVY) -> DataFrame:
+    """``docs``: doc (order numbers), text. (doc, begin, end): bytes to remove; parts of one document may touch."""
+    owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sent(docs, length, set_bits, gram, most, heavy).repartition(owners, "owner").mapInArrow(_resolved(length, collection), "doc long, begin long, end long")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -450,8 +478,8 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return rows.join(numbers, ["doc_id", "sha"], "left").drop("sha")
 
 
-def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", set_bits: int = SET_BITS) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", set_bits: int = SET_BITS, heavy: int = HEAVY) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, spans (removed runs in bytes), kept (remaining bytes)."""
     rows = _ordered(chosen(docs, key, text).select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    spans = cut_lineage(extents(rows.where("doc is not null").select("doc", "text"), length, set_bits), "repeats").groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    spans = cut_lineage(extents(rows.where("doc is not null").select("doc", "text"), length, set_bits, heavy=heavy), "repeats").groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     return rows.join(spans, "doc", "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary")
