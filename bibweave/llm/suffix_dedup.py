@@ -13,8 +13,8 @@ or before in the same one. Overlaps count, and everything is judged on the input
 3. An owner merges equal segments (all but the first are repeats), narrows the others to the parts whose strings occur again
    by their hashes, merges equal parts, and sorts the parts that still differ as a collection: each round puts one more symbol
    of every part, from the last to the first, into the collection's Burrows-Wheeler transform, and updates the common prefixes
-   of neighbours. The rows lie in a file that a round reads front to back while it writes the next. Neighbours that share
-   ``length`` symbols hold equal strings; of each such class the earliest stays.
+   of neighbours. A collection is bounded to about ``collection`` bytes and held in memory; a file carries its rows from one
+   round to the next and is read whole. Neighbours that share ``length`` symbols hold equal strings; of each such class the earliest stays.
 4. Extents are merged per document and cut from its bytes.
 
 The symbols go in column by column as for short reads; whole documents would need as many rounds as the longest has bytes, each
@@ -249,7 +249,7 @@ class Collection:
 
     The row of a suffix is one 64-bit word: the symbol before it (0 before a whole string; else byte + 1, which UTF-8 keeps below
     256), how many symbols it shares with the row above (counted up to ``cap``), how long it is and which string it belongs to.
-    The rows lie in a file; a round reads the old ones once, front to back, and writes the next ones to another file.
+    The rows lie in a file; a round reads the old ones whole and writes the next ones to another file. The caller bounds the size.
     """
 
     def __init__(self, strings: list[bytes], cap: int, folder: str):
