@@ -7,5 +7,6 @@ from bibweave.plans import (  # noqa: F401
     queries_records,
     queries_relational,
     queries_sources,
+    queries_streams,
 )
 from bibweave.plans.registry import ORACLES, QUERIES  # noqa: F401

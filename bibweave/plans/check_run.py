@@ -87,6 +87,15 @@ class CheckRun:
         rows = self.pubs.select("PID", F.array_compact(F.array(*marks)).alias("hits"))
         return rows.select("PID", F.explode("hits").alias("check"))
 
+    def weighted_hits(self, *kept: str) -> DataFrame:
+        """(PID, check, n, kept) of every publication row check: how many rows of the check's table a publication has.
+
+        One scan, and no shuffle, so the publications may be a stream.
+        """
+        marks = [F.when(w > 0, F.struct(F.lit(n).alias("check"), w.cast("bigint").alias("n"))) for n, w in self._weights("pubs", False).items()]
+        rows = self.pubs.select("PID", *kept, F.explode(F.array_compact(F.array(*marks))).alias("hit"))
+        return rows.select("PID", "hit.*", *kept)
+
     def statistics(self) -> DataFrame:
         """(name, value): rows per check.
 
