@@ -43,21 +43,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Ranges:
-    """Hashes of any ranges of one buffer, from running sums of symbols times powers of an odd number (mod 2**64)."""
+    """Hashes of any ranges of one buffer, from running sums of symbols times powers of an odd number (mod 2**64).
+
+    A power is the product of one within a block and one of the block, so the tables that a process keeps have a fixed length.
+    """
 
     BASE = 0xA24BAED4963EE407
+    BLOCK = 1 << 16
     _TABLE = mixed(np.arange(256, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    _up = _down = np.ones(1, np.uint64)
+    _up = _down = None
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        if len(Ranges._up) <= n:
-            size = 1 << (n + 1).bit_length()
-            Ranges._up, Ranges._down = self._powers(self.BASE, size), self._powers(pow(self.BASE, -1, 1 << 64), size)
-        values = self._TABLE[data] if data.dtype == np.uint8 else mixed(data.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        values *= self._down[:n]
+        if Ranges._up is None:
+            Ranges._up, Ranges._down = self._powers(self.BASE, self.BLOCK), self._powers(pow(self.BASE, -1, 1 << 64), self.BLOCK)
+        blocks = n // self.BLOCK + 1
+        self._block_up = self._powers(pow(self.BASE, self.BLOCK, 1 << 64), blocks)
+        down = self._powers(pow(self.BASE, -self.BLOCK, 1 << 64), blocks)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values, out=self.sums[1:])
+        for b in range(blocks):
+            part = data[b * self.BLOCK : (b + 1) * self.BLOCK]
+            values = self._TABLE[part] if data.dtype == np.uint8 else mixed(part.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+            values *= self._down[: len(part)]
+            values *= down[b]
+            self.sums[b * self.BLOCK + 1 : b * self.BLOCK + 1 + len(part)] = values
+        np.cumsum(self.sums, out=self.sums)
 
     @staticmethod
     def _powers(base: int, n: int) -> np.ndarray:
@@ -71,11 +81,19 @@ class Ranges:
         return out
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[ends] - self.sums[starts]) * self._up[starts] + (ends - starts).astype(np.uint64))
+        out = self.sums[ends] - self.sums[starts]
+        out *= self._up[starts & (self.BLOCK - 1)]
+        if len(self._block_up) > 1:
+            out *= self._block_up[starts >> 16]
+        out += (ends - starts).astype(np.uint64)
+        return mixed(out)
 
     def windows(self, size: int) -> np.ndarray:
         """The hashes of all ranges of ``size`` symbols."""
         out = self.sums[size:] - self.sums[:-size]
-        out *= self._up[: len(out)]
+        for b in range(0, len(out), self.BLOCK):
+            part = out[b : b + self.BLOCK]
+            part *= self._up[: len(part)]
+            part *= self._block_up[b >> 16]
         out += np.uint64(size)
         return mixed(out)
