@@ -6,7 +6,10 @@ probability is the product over its words, a word's the sum over all its segment
 character that is no piece counts as one unknown piece). All languages are equally likely before; the score is the posterior.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text if nothing was learned. Labels that are null are
-not learned from; of languages that tie the first in alphabetical order is taken. Rows that repeat are judged each.
+not learned from; of languages that tie the first in alphabetical order is taken. Rows that repeat are judged each; columns besides
+the ones named play no part. A model has at most ``MOST_LANGUAGES`` languages; a table with more labels raises, as its labels
+are no languages. A text takes some 50 bytes of memory for each of its characters while its words are scored, a word of n
+characters n steps.
 """
 
 from __future__ import annotations
@@ -17,31 +20,37 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bibweave.llm.shared import Ranges, chosen
 
-#: Characters of the longest piece used, the weight added to each count, and how many languages a model may have.
-LONGEST, SMOOTHING, MOST_LANGUAGES = 8, 0.1, 500
+#: The weight added to each count, and how many languages a model may have.
+SMOOTHING, MOST_LANGUAGES = 0.1, 500
 START = "▁"
-#: Distinct words whose scores a task remembers; when full the table starts anew.
-REMEMBERED = 300_000
+#: Distinct words whose scores a task remembers (when full the table starts anew), and words that are scored at once.
+REMEMBERED, TAKE = 200_000, 8_192
+#: Characters up to which every place of a text is looked up; longer pieces only where one of them begins with these.
+SHORT = 6
 
 
 class Pieces:
     """A fixed vocabulary; finds all pieces in many words at once."""
 
     def __init__(self, pieces: list[str]):
-        self.pieces = sorted({p for p in pieces if 0 < len(p) <= LONGEST})
-        self.unknown = len(self.pieces)
+        self.pieces = sorted({p for p in pieces if p})
+        self.unknown, self.longest = len(self.pieces), max(map(len, self.pieces), default=1)
         self.tables = []
-        for k in range(1, LONGEST + 1):
+        for k in range(1, self.longest + 1):
             ids = np.array([i for i, p in enumerate(self.pieces) if len(p) == k], np.int32)
-            codes = np.array([[ord(c) for c in self.pieces[i]] for i in ids], np.uint32).reshape(-1)
-            at = np.arange(len(ids)) * k
-            h = Ranges(codes).of(at, at + k)
+            h = self._hashes([self.pieces[i] for i in ids], k)
             order = np.argsort(h)
             self.tables.append((h[order], ids[order]))
+        self.beginnings = np.unique(self._hashes([p[:SHORT] for p in self.pieces if len(p) > SHORT], SHORT))
+
+    @staticmethod
+    def _hashes(pieces: list[str], k: int) -> np.ndarray:
+        at = np.arange(len(pieces)) * k
+        return Ranges(np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)).of(at, at + k)
 
     @classmethod
     def of_model(cls, path: str) -> Pieces:
@@ -49,15 +58,25 @@ class Pieces:
         normal = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         return cls([model.id_to_piece(i).lower() for i in normal])
 
-    def found(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Offsets and lengths of the words (with their start mark) and, per piece length k, the piece at each place (or -1)."""
+    def found(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+        """Offsets and lengths of the words (with their start mark) and, per piece length k, the pieces.
+
+        Up to ``SHORT`` characters that is the piece at each place (or -1), beyond that the places that have one, and the pieces.
+        """
         text = START + START.join(words)
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         lengths = np.array([len(w) + 1 for w in words])
         offsets = np.cumsum(lengths) - lengths
         ends = np.repeat(offsets + lengths, lengths)
-        ranges, place, at = Ranges(codes), [], np.arange(len(codes))
+        ranges, place, long, at = Ranges(codes), [], [], np.arange(len(codes))
         for k, (hashes, ids) in enumerate(self.tables, 1):
+            if k > SHORT:  # ``inside`` has the places of the length before, which begin as some long piece does
+                inside = inside[inside + k <= ends[inside]]
+                h = ranges.of(inside, inside + k)
+                hit = np.minimum(np.searchsorted(hashes, h), max(len(hashes) - 1, 0))
+                some = np.flatnonzero(hashes[hit] == h) if len(hashes) else np.zeros(0, np.int64)
+                long.append((inside[some], ids[hit[some]] if len(hashes) else np.zeros(0, np.int32)))
+                continue
             out = np.full(len(codes), -1, np.int32)
             inside = at[at + k <= ends]
             if len(hashes) and len(inside):
@@ -67,35 +86,55 @@ class Pieces:
             if k == 1:
                 out[out < 0] = self.unknown
             place.append(out)
-        return offsets, lengths, place
+            if k == SHORT and len(self.beginnings) and len(inside):
+                h = ranges.of(inside, inside + k)
+                inside = inside[self.beginnings[np.minimum(np.searchsorted(self.beginnings, h), len(self.beginnings) - 1)] == h]
+        return offsets, lengths, place, long
 
     def counts(self, words: list[str], weights: np.ndarray) -> np.ndarray:
         """How often each piece, and last the unknown one, stands in the words, each taken ``weights`` times."""
         total = np.zeros(self.unknown + 1)
-        _, lengths, place = self.found(words)
+        _, lengths, place, long = self.found(words)
         each = np.repeat(weights, lengths)
         for ids in place:
             known = ids >= 0
             total += np.bincount(ids[known], each[known], minlength=len(total))
+        for at, ids in long:
+            total += np.bincount(ids, each[at], minlength=len(total))
         return total
 
     def scores(self, words: list[str], probability: np.ndarray) -> np.ndarray:
         """Log-probabilities, one row per word and one column per language. ``probability``: a row per piece."""
-        offsets, lengths, place = self.found(words)
-        factor = 32.0  # per character, so that no word of usual length comes near the smallest number
-        scaled = np.vstack([probability, np.zeros(probability.shape[1])])
+        parts = [self._scores(words[at : at + TAKE], probability) for at in range(0, len(words), TAKE)]
+        return np.concatenate([np.zeros((0, probability.shape[1])), *parts])
+
+    def _scores(self, words: list[str], probability: np.ndarray) -> np.ndarray:
+        offsets, lengths, place, long = self.found(words)
+        factor, ring = 32.0, self.longest + 1  # a factor per character, so that no word of usual length comes near the smallest number
         order = np.argsort(-lengths, kind="stable")
         offsets, lengths = offsets[order], lengths[order]
-        ahead = np.zeros((LONGEST + 1, len(words), probability.shape[1]))  # a ring of the last places
+        # the long pieces by the place in the word that they end at: rows of ``ahead``, lengths and pieces
+        starts, pieces = (np.concatenate([x[i] for x in long] + [np.zeros(0, np.int64)]).astype(np.int64) for i in (0, 1))
+        sizes = np.repeat(np.arange(SHORT + 1, SHORT + 1 + len(long)), [len(x[0]) for x in long])
+        by_offset = np.argsort(offsets)
+        rows = by_offset[np.searchsorted(offsets[by_offset], starts, side="right") - 1]
+        ends = starts - offsets[rows] + sizes
+        grouped = np.argsort(ends, kind="stable")
+        rows, sizes, pieces = rows[grouped], sizes[grouped], pieces[grouped]
+        cuts = np.searchsorted(ends[grouped], np.arange(int(lengths.max(initial=0)) + 2))
+        ahead = np.zeros((ring, len(words), probability.shape[1]))  # a ring of the last places
         ahead[0], logs, out = 1.0, *np.zeros((2, len(words), probability.shape[1]))
         for p in range(1, int(lengths.max(initial=0)) + 1):
             active = int(np.searchsorted(-lengths, -p, side="right"))
             now = np.zeros((active, probability.shape[1]))
-            for k in range(1, min(LONGEST, p) + 1):
+            for k in range(1, min(len(place), p) + 1):
                 ids = place[k - 1][offsets[:active] + (p - k)]
                 some = np.flatnonzero(ids >= 0)
-                now[some] += ahead[(p - k) % (LONGEST + 1), some] * scaled[ids[some]] * factor**k
-            ahead[p % (LONGEST + 1), :active] = now
+                now[some] += ahead[(p - k) % ring, some] * probability[ids[some]] * factor**k
+            if (at := slice(cuts[p], cuts[p + 1])).start < at.stop:
+                k = sizes[at]
+                np.add.at(now, rows[at], ahead[(p - k) % ring, rows[at]] * probability[pieces[at]] * (factor**k)[:, None])
+            ahead[p % ring, :active] = now
             if p % 16 == 0:
                 ahead[:, :active] /= now
                 logs[:active] += np.log(now)
@@ -148,25 +187,25 @@ def train(labelled: DataFrame, pieces: Pieces, text: str = "text", lang: str = "
     return langs, matrix / matrix.sum(axis=0)
 
 
-def predict(docs: DataFrame, pieces: Pieces, langs: list[str], probability: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, lang_pred, score. Reads the text only; the id is carried along."""
-    shared = docs.sparkSession.sparkContext.broadcast((pieces, langs, probability))
+def judged(text: Column, pieces: Pieces, langs: list[str], probability: np.ndarray, spark: SparkSession) -> Column:
+    """struct<lang: string, score: double> of a text. Other columns stay where they are, so rows need no key."""
+    shared = spark.sparkContext.broadcast((pieces, langs, probability))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang: string, score: double>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         pieces, langs, probability = shared.value
         known: dict[str, int] = {}
         table = np.zeros((0, len(langs)))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                split = [_words(t) if ok else [] for t, ok in zip(part.column("text").to_pylist(), part.column("letters").to_pylist())]
+        for texts, letters in batches:
+            best, score = [], []
+            for at in range(0, len(texts), 64):
+                split = [_words(t) if ok else [] for t, ok in zip(texts.slice(at, 64).to_pylist(), letters.slice(at, 64).to_pylist())]
                 if len(known) > REMEMBERED:
                     known, table = {}, table[:0]
                 new = list({w for ws in split for w in ws}.difference(known))
                 known.update(zip(new, range(len(table), len(table) + len(new))))
                 if new:
                     table = np.concatenate([table, pieces.scores(new, probability)])
-                best, score = [], []
                 for ws in split:
                     if not ws or not langs:
                         best.append("und")
@@ -176,7 +215,13 @@ def predict(docs: DataFrame, pieces: Pieces, langs: list[str], probability: np.n
                     top = int(sums.argmax())
                     best.append(langs[top])
                     score.append(float(1 / np.exp(sums - sums[top]).sum()))
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "lang_pred": pa.array(best, pa.string()), "score": pa.array(score, pa.float64())})
+            yield pa.StructArray.from_arrays([pa.array(best, pa.string()), pa.array(score, pa.float64())], ["lang", "score"])
+
+    return run.asNondeterministic()(text, has_letter(text))  # so that no filter on it judges a text twice
 
-    rows = chosen(docs, key, text).select("doc_id", "text", has_letter(F.col("text")).alias("letters"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+def predict(docs: DataFrame, pieces: Pieces, langs: list[str], probability: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, lang_pred, score. Reads the text only; the id is carried along."""
+    rows = chosen(docs, key, text)
+    found = rows.select("doc_id", judged(F.col("text"), pieces, langs, probability, docs.sparkSession).alias("p"))
+    return found.select("doc_id", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
