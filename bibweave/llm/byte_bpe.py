@@ -19,6 +19,7 @@ import base64
 import json
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -251,33 +252,28 @@ class Codec:
         return found.select("doc_id", "text", F.explode(F.array(ids)).alias("ids"))  # one element: so no use of ids repeats its making
 
     def decode(self, ids: Column) -> Column:
-        """The bytes that the ids stand for."""
-        pieces = self.pieces
+        """The bytes that the ids stand for: their pieces, a character for each byte, joined."""
+        return F.encode(_joined(ids, [p.decode("latin-1") for p in self.pieces]), "ISO-8859-1")
 
-        @F.arrow_udf("binary")
-        def joined(lists: pa.Array) -> pa.Array:
-            table = pa.array(pieces, pa.binary())
-            return in_parts(lists, lambda part: some(part, table))
+    def packed(self, ids: Column) -> Column:
+        """The ids as little-endian unsigned 32-bit integers."""
+        return F.encode(_joined(ids, [i.to_bytes(4, "little").decode("latin-1") for i in range(len(self.pieces))]), "ISO-8859-1")
 
-        def some(lists: pa.Array, pieces: pa.Array) -> pa.Array:
-            parts = pieces.take(lists.flatten())
-            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-            return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts), b"").cast(pa.binary())
 
-        return joined(ids)
+def _joined(ids: Column, texts: list[str]) -> Column:
+    table = F.from_json(F.lit(json.dumps(texts, separators=(",", ":"))), "array<string>")
+    return F.array_join(let(table, lambda t: F.transform(ids, lambda i: F.get(t, i))), "")
 
 
-def digests(docs: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text", cached_words: int = CACHED_WORDS) -> DataFrame:
-    """Encodes, decodes and compares: doc_id, n_tokens, ids_sha256 (of little-endian 32-bit ids), decoded_sha256."""
+def public_codec() -> Codec:
+    """The rank file and pattern of the public vocabulary."""
+    return Codec(read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
 
-    @F.arrow_udf("binary")
-    def packed(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten().to_numpy().astype("<u4")
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-        return pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())
 
+def digests(docs: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text", cached_words: int = CACHED_WORDS) -> DataFrame:
+    """Encodes, decodes and compares: doc_id, n_tokens, ids_sha256 (of little-endian 32-bit ids), decoded_sha256."""
     coded = codec.encode(docs, key, text, cached_words)
-    full = coded.select("doc_id", "text", F.size("ids").cast("long").alias("n_tokens"), packed("ids").alias("packed"), codec.decode(F.col("ids")).alias("decoded"))
+    full = coded.select("doc_id", "text", F.size("ids").cast("long").alias("n_tokens"), codec.packed(F.col("ids")).alias("packed"), codec.decode(F.col("ids")).alias("decoded"))
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return full.select(
         "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"),
