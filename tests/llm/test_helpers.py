@@ -89,7 +89,7 @@ def test_collection_transform_finds_equal_strings(length, tmp_path):
 
 
 def test_forward_algorithm_sums_all_segmentations():
-    pieces = language_id.Pieces(["▁", "▁a", "a", "b", "ab", "ba", "▁ab"])
+    pieces = language_id.Pieces(["▁", "▁a", "a", "b", "ab", "ba", "▁ab", "ababababa", "babababab", "▁abababab", "abababab"])
     probability = np.random.default_rng(1).random((pieces.unknown + 1, 2))
     index = {p: i for i, p in enumerate(pieces.pieces)}
 
@@ -97,14 +97,14 @@ def test_forward_algorithm_sums_all_segmentations():
         if not word:
             return 1.0
         out = 0.0
-        for k in range(1, min(language_id.LONGEST, len(word)) + 1):
+        for k in range(1, min(pieces.longest, len(word)) + 1):
             if word[:k] in index:
                 out += probability[index[word[:k]], column] * total(word[k:], column)
             elif k == 1:
                 out += probability[-1, column] * total(word[1:], column)
         return out
 
-    words = ["ab", "abba", "a", "xyz", "aé"]
+    words = ["ab", "abba", "a", "xyz", "aé", "abababababab", "xabababababab"]
     assert np.allclose(pieces.scores(words, probability), [[np.log(total("▁" + w, c)) for c in (0, 1)] for w in words])
     assert np.isfinite(pieces.scores(["ab" * 3000], probability)).all()
 

@@ -79,7 +79,7 @@ def test_exact_dedup(docs):
 
 def test_byte_bpe(docs):
     rows, df = docs
-    codec = corpus_pipeline.codec()
+    codec = byte_bpe.public_codec()
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     expected = []

@@ -1,9 +1,19 @@
 """Stages of the pipeline against plain Python."""
 
+import hashlib
+import math
 import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import sentencepiece
+import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bibweave.llm import near_copies
+from bibweave.llm import byte_bpe, language_id, near_copies, queries
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -92,3 +102,97 @@ def test_null_and_repeated_ids(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     expected = sorted(((k, t) for k, t in rows if not (t or "").startswith(item)), key=str)
     assert kept(corpus_pipeline.clean(spark, frame(spark, rows), str(tmp_path))) == expected
+
+
+class PlainLanguages:
+    """Training and prediction piece by piece, over all lengths of the vocabulary."""
+
+    def __init__(self, rows):
+        model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+        normal = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+        self.pieces = {model.id_to_piece(i).lower() for i in normal}
+        self.longest = max(map(len, self.pieces))
+        words = defaultdict(Counter)
+        for text, lang in rows:
+            if text is not None and lang is not None:
+                words[lang].update(text.lower().split())
+        counts = {lang: Counter() for lang in sorted(words)}
+        for lang, found in words.items():
+            for word, n in found.items():
+                for _, _, piece in self.places(word):
+                    counts[lang][piece] += n
+        self.total = {lang: sum(c.values()) + language_id.SMOOTHING * (len(self.pieces) + 1) for lang, c in counts.items()}
+        self.counts, self.known = counts, {}
+
+    def places(self, word):
+        word = language_id.START + word
+        for start in range(len(word)):
+            for end in range(start + 1, min(start + self.longest, len(word)) + 1):
+                if word[start:end] in self.pieces or end == start + 1:
+                    yield start, end, word[start:end] if word[start:end] in self.pieces else None
+
+    def word(self, word):
+        if word not in self.known:
+            found, sums = sorted(self.places(word), key=lambda p: p[1]), {}
+            for lang, counts in self.counts.items():
+                ahead = [1.0] + [0.0] * (len(word) + 1)
+                for start, end, piece in found:
+                    ahead[end] += ahead[start] * (counts[piece] + language_id.SMOOTHING) / self.total[lang]
+                sums[lang] = math.log(ahead[-1])
+            self.known[word] = sums
+        return self.known[word]
+
+    def predict(self, text):
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        sums = {lang: sum(self.word(w)[lang] for w in text.lower().split()) for lang in self.counts}
+        best = max(sorted(sums), key=sums.get)
+        return best, 1 / sum(math.exp(s - sums[best]) for s in sums.values())
+
+
+def test_language_id_by_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = [r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    plain = PlainLanguages([(r["text"], r["lang"]) for r in docs if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2])
+    got = {r["doc_id"]: r for r in queries.op7_language_id(spark, folder).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        lang, score = plain.predict(r["text"])
+        mine = got[r["doc_id"]]
+        assert mine["lang_pred"] == lang and mine["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert math.isclose(mine["score"], score, rel_tol=1e-9)
+
+
+CLASHING = "row number of equal sha found place gone first root members kept _id _of _sha _n _row".split()
+
+
+def test_clashing_columns_stay(spark, tmp_path):
+    rows = [(1, "one two three four five six"), (2, "one two three four five six"), (3, "one two three four five six seven seven seven"), (None, "!!"), (4, None), (5, "")]
+    df = frame(spark, rows).select("*", *(F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING))
+    spark.createDataFrame([(1, "six seven seven seven")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, df, str(tmp_path))
+        assert after.columns == df.columns
+        for r in after.collect():
+            assert all(r[c] == (None if r["doc_id"] is None else f"{c}-{r['doc_id']}") for c in CLASHING), name
+
+
+def test_language_fills_missing_labels(spark):
+    rows = [(i, "the cat and the dog of the house", "en", "s", 0) for i in range(9)] + [(20 + i, "le chat et le chien de la maison", "fr", "s", 0) for i in range(9)]
+    rows += [(50, "the dog of the cat", None, "s", 0), (51, "la maison de le chien", None, "s", 0), (52, "123", "en", "s", 0), (None, "le chat", "en", "s", 0)]
+    got = corpus_pipeline.language(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()
+    langs = {r["doc_id"]: r["lang"] for r in got}
+    assert len(got) == len(rows) - 1 and langs[50] == "en" and langs[51] == "fr" and 52 not in langs and langs[None] == "en"
+    nothing = spark.createDataFrame(rows, SCHEMA).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language(spark, nothing, "").count() == 0
+
+
+def test_encode(spark):
+    texts = [None, "", "Hello  world\n\nÉté 漢字 " * 3, "x" * 500, "aé\x00\x7f"]
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r["doc_id"]: r for r in corpus_pipeline.encode(spark, frame(spark, list(enumerate(texts))), "").collect()}
+    for k, t in enumerate(texts):
+        ids = library.encode_ordinary(t or "")
+        assert got[k]["n_tokens"] == len(ids) and got[k]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert got[k]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
