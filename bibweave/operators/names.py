@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bibweave.functions.identifiers import ORCID_IN_TEXT
 from bibweave.operators.groups import collapse, with_group_values
 
+c = F.col
 ET_AL = r";?\s*et al\.?,?"
 NAME_END = r"^([^(\[|]*)"
 
 
-def balanced(depth: int = 6) -> str:
-    """Pattern of a parenthesised group with ``depth`` inner levels.
+def balanced(depth: int) -> str:
+    """Pattern of a parenthesised group with at most ``depth`` inner levels.
 
     Possessive repeats keep the matcher from backtracking through long texts.
     """
@@ -28,8 +29,40 @@ def balanced(depth: int = 6) -> str:
     return inner
 
 
-GROUP = balanced()
-PIECE = rf"((?:[^;()]++|{GROUP}|[()])++)"
+# Stand for the parentheses of an outermost group; no text has these characters of the private use area.
+OPEN, CLOSE = "\ue000", "\ue001"
+GROUP = rf"{OPEN}[^{CLOSE}]*+{CLOSE}"
+PIECE = rf"((?:[^;{OPEN}{CLOSE}]++|{GROUP})++)"
+_SHALLOW = balanced(3)
+
+
+def _matched(tokens: Column) -> Column:
+    """Outermost pairs (o, c) of matching parentheses among tokens, by their places; ones without a partner are text."""
+    state = F.struct(F.expr("cast(array() as array<int>)").alias("open"), F.expr("cast(array() as array<struct<o: int, c: int>>)").alias("pairs"))
+    places = F.sequence(F.lit(1), F.size(tokens))
+
+    def step(s: Column, i: Column) -> Column:
+        token, last = F.element_at(tokens, i), F.element_at(s["open"], -1)
+        # what a pair encloses is no outermost pair any more
+        outer = F.concat(F.filter(s["pairs"], lambda p: p["o"] < last), F.array(F.struct(last.alias("o"), i.alias("c"))))
+        return F.when(token == "(", F.struct(F.array_append(s["open"], i).alias("open"), s["pairs"].alias("pairs"))).when(
+            (token == ")") & (F.size(s["open"]) > 0),
+            F.struct(F.slice(s["open"], F.lit(1), F.size(s["open"]) - 1).alias("open"), outer.alias("pairs"))).otherwise(s)
+
+    return F.aggregate(places, state, step, lambda s: s["pairs"])
+
+
+def with_groups_marked(col: Column) -> Column:
+    """The text with the parentheses of every outermost group replaced by ``OPEN`` and ``CLOSE``, however deep groups nest.
+
+    Groups of a few levels are found by a pattern; a text that has parentheses left beside those is read token by token.
+    """
+    tokens = F.regexp_extract_all(col, F.lit(r"[()]|[^()]++"), F.lit(0))
+    mark = lambda pairs: F.array_join(F.transform(tokens, lambda t, i: F.when(
+        F.exists(pairs, lambda p: p["o"] == i + 1), OPEN).when(F.exists(pairs, lambda p: p["c"] == i + 1), CLOSE).otherwise(t)), "")
+    shallow = F.regexp_replace(col, rf"\(((?:[^()]++|{_SHALLOW})*+)\)", f"{OPEN}$1{CLOSE}")
+    deep = F.get(F.transform(F.array(_matched(tokens)), mark), F.lit(0))
+    return F.when(F.regexp_replace(shallow, GROUP, "").rlike(r"[()]"), deep).otherwise(shallow)
 
 
 def _all(col: Column, pattern: str, group: int = 0) -> Column:
@@ -51,9 +84,9 @@ def without_et_al(col: Column) -> Column:
 def _author(piece: Column, home: str) -> Column:
     """One author's struct: name, ids and affiliation groups."""
     outside = F.regexp_replace(piece, GROUP, "")
-    bare = lambda g: F.regexp_replace(g, r"^\(\s*|\s*\)$", "")
+    bare = lambda g: F.regexp_replace(g, rf"^{OPEN}\s*|\s*{CLOSE}$", "")
     groups = F.filter(F.transform(_all(piece, GROUP), bare), lambda g: F.length(g) > 0)
-    name = F.trim(F.regexp_extract(piece, NAME_END, 1))
+    name = F.trim(F.regexp_extract(F.translate(piece, OPEN, "("), NAME_END, 1))
     affiliation = lambda g: F.struct(
         g.alias("text"),
         F.size(F.split(g, ";")).alias("n_aff"),
@@ -73,8 +106,10 @@ def split_authors(pubs: DataFrame, record: str = "PID", column: str = "Name", ho
     """(record, uses_etal, authors): the record's authors as an array of structs."""
     rows = pubs.where(F.col(record).isNotNull() & F.col(column).isNotNull())
     pieces = F.filter(
-        F.transform(_all(without_et_al(F.col(column)), PIECE, 1), F.trim), lambda p: F.length(p) > 0
+        F.transform(_all(c("__marked"), PIECE, 1), F.trim), lambda p: F.length(p) > 0
     )
+    # one element, so that the optimizer does not copy the marking into every use
+    rows = rows.withColumn("__marked", F.explode(F.array(with_groups_marked(without_et_al(c(column))))))
     return rows.select(
         record,
         F.coalesce(F.col(column).rlike(ET_AL), F.lit(False)).alias("uses_etal"),

@@ -26,15 +26,17 @@ ORGS = ("(SELECT string_agg(v, ' ' ORDER BY i) FROM (SELECT v, min(i) AS i FROM
         "list_transform(home, lambda y: concat('Last', y))), 1) AS i) GROUP BY v))")
 
 
-@query("n01_simple_names", N_BASE + """ SELECT "PID", CAST(pos AS INT) AS pos, concat('Last', k, ', F') AS name_only, concat('u1', lpad(CAST(k AS VARCHAR), 6, '0')) AS staffid
-FROM o WHERE k % 3 <> 1 AND k % 3 <> 2""")
+@query("n01_simple_names", N_BASE + """,
+s AS (SELECT "PID", string_agg(concat('Last', k, ', F [u1', lpad(CAST(k AS VARCHAR), 6, '0'), ']',
+  CASE k % 3 WHEN 1 THEN concat(' (Home [1], Unit; x (sub) [', k, '])') WHEN 2 THEN ' (Ext Univ; City (A))' ELSE '' END), ';' ORDER BY k) AS n FROM p GROUP BY 1),
+e AS (SELECT "PID", unnest(string_split(n, ';')) AS "Name", generate_subscripts(string_split(n, ';'), 1) AS pos FROM s)
+SELECT "PID", CAST(pos AS INT) AS pos, "Name", trim(regexp_extract("Name", '^([^(\\[|]*)', 1)) AS name_only,
+  nullif(array_to_string(regexp_extract_all("Name", '\\[(u1.{6})\\]', 1), ' '), '') AS staffid, CAST(NULL AS VARCHAR) AS orcid,
+  nullif(array_to_string(regexp_extract_all("Name", '\\[(\\d+)\\]', 1), ' '), '') AS orgids,
+  nullif(regexp_extract("Name", '\\(([^(\\[|]*)\\)$', 1), '') AS extorg, false AS has_etal FROM e""")
 def n01(spark, d):
-    """Authors without affiliation, for whom both readings agree."""
-    parsed = names.parse_names(_name_strings(spark, d))
-    simple = names.parse_simple_names(_name_strings(spark, d))
-    whole = parsed.where(c("n_aff_own").isNull() & c("n_aff_ext").isNull()).select("PID", "pos", c("staffid").alias("id"))
-    hit = simple.select("PID", "name_only", "staffid").distinct()
-    return whole.join(hit, (whole["PID"] == hit["PID"]) & (c("id") == c("staffid"))).select(whole["PID"], "pos", "name_only", "staffid")
+    """Every author, also those whose affiliation this reading cuts in two."""
+    return names.parse_simple_names(_name_strings(spark, d))
 
 
 @query("n02_parse_names", N_BASE + f""" SELECT o."PID", CAST(pos AS INT) AS pos, concat('Last', k, ', F') AS name, concat('u1', lpad(CAST(k AS VARCHAR), 6, '0')) AS staffid,
@@ -44,6 +46,19 @@ def n02(spark, d):
     return names.parse_names(_name_strings(spark, d))
 
 
+@query("n02_nested_parentheses", """WITH t AS (SELECT s_suppkey AS k, CAST(s_suppkey % 14 AS INT) AS depth FROM supplier)
+SELECT k AS "PID", CAST(1 AS INT) AS pos, concat('Last', k, ', F') AS name, concat('Place ', k, '; x',
+  array_to_string(list_transform(range(1, depth + 1), lambda i: concat(' (l', i, '; y')), ''), repeat(')', depth)) AS extorg, CAST(2 + depth AS INT) AS n_aff_ext FROM t
+UNION ALL SELECT k, 2, concat('Next', k, ', G'), 'Other (p)', 1 FROM t""")
+def n02_nested(spark, d):
+    """Affiliations of up to 14 levels, separators on each, followed by another author."""
+    k, depth = c("s_suppkey").cast("string"), (c("s_suppkey") % 14).cast("int")
+    levels = F.array_join(F.transform(F.filter(F.sequence(F.lit(0), depth), lambda i: i > 0), lambda i: F.concat(F.lit(" (l"), i.cast("string"), F.lit("; y"))), "")
+    text = F.concat(F.lit("Last"), k, F.lit(", F (Place "), k, F.lit("; x"), levels, F.repeat(F.lit(")"), depth), F.lit(");Next"), k, F.lit(", G (Other (p))"))
+    rows = table(spark, d, "supplier").select(c("s_suppkey").alias("PID"), text.alias("Name"))
+    return names.parse_names(rows).select("PID", "pos", "name", "extorg", "n_aff_ext")
+
+
 @query("n03_person_records", N_BASE + """ SELECT concat('u1', lpad(CAST(k AS VARCHAR), 6, '0')) AS staffid, CAST(NULL AS VARCHAR) AS orcid, concat('Last', k, ', F') AS name,
 CASE WHEN k % 3 = 2 THEN 'Ext Univ; City (A)' END AS extorg, CAST(0 AS INT) AS piece, string_agg(CAST("PID" AS VARCHAR), ' ' ORDER BY "PID") AS pids FROM p GROUP BY k""")
 def n03(spark, d):
