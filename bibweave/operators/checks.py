@@ -19,6 +19,7 @@ from bibweave.operators.groups import (
     collapse, counts, initials, joined_sorted, nullsafe_outer, top_rows, with_count, with_group_values, with_piece,
 )
 from bibweave.operators.setops import stack
+from bibweave.session import cut_lineage
 
 # Publication types, statuses and note marks the checks test for.
 ARTICLE = "Artikel i tidskrift"
@@ -50,7 +51,11 @@ def days_before(as_of: dt.date, days: int) -> Column:
 
 def prefilter(pubs: DataFrame, as_of: dt.date) -> DataFrame:
     """Leave out unverified imports and the last 30 days."""
-    return pubs.where(not_matching(c("Notes"), IMPORT_MARK) & (c("CreatedDate") < days_before(as_of, 30)))
+    return pubs.where(within_prefilter(as_of))
+
+
+def within_prefilter(as_of: dt.date) -> Column:
+    return not_matching(c("Notes"), IMPORT_MARK) & (c("CreatedDate") < days_before(as_of, 30))
 
 
 def has_any(*names: str) -> Column:
@@ -344,10 +349,14 @@ def check_manuscripts_with_identifiers(pubs: DataFrame) -> DataFrame:
 
 
 def _keyed_by_initials(rows: DataFrame, authors: DataFrame) -> DataFrame:
-    """Attach the author initials and count rows per initials and year."""
+    """Attach the author initials and count rows per initials and year.
+
+    ``rows`` are few beside the corpus and needed several times, so they are written once, without and with initials.
+    """
+    rows = cut_lineage(rows, "titles")
     listed = authors.join(rows.select("PID").distinct(), "PID", "left_semi")
     keyed = rows.join(initials(listed), "PID").withColumn("check_key", paste(c("initials"), c("Year"), sep="_"))
-    return with_count(keyed, ["check_key"], "n_check")
+    return with_count(cut_lineage(keyed, "initials"), ["check_key"], "n_check")
 
 
 def check_duplicate_article_titles(pubs: DataFrame, authors: DataFrame) -> DataFrame:
@@ -369,14 +378,16 @@ def check_duplicate_titles(
     cleaned = pubs.withColumns(
         {"clean_notes": text.tidy_html(c("Notes")), "lc_title": text.title_key(c("Title"))}
     ).where(not_matching(c("clean_notes"), NOT_DUPLICATE))
-    rows = with_count(cleaned, ["lc_title", "PublicationType"], "n", at_least=2).select(
-        "PID", "Year", "Title", "PublicationType", "LastUpdated", "n", "JournalISSN", "JournalEISSN", "clean_notes"
-    )
     lacks = c("JournalISSN").isNull() | c("JournalEISSN").isNull()
+    key = ["lc_title", "PublicationType"]
+    groups = cleaned.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.bool_or(lacks).alias("any_missing")).where("n > 1")
+    groups = cut_lineage(groups, "title-groups")
+    rows = nullsafe_join(cleaned, groups.drop("any_missing"), key)
     if parity:
-        # scalar subquery: one value for the whole table, no join
-        lacks = rows.agg(F.coalesce(F.bool_or(lacks), F.lit(False)).alias("any_missing")).scalar()
-    rows = rows.where((c("JournalISSN") == c("JournalEISSN")) | lacks)
+        lacks = F.lit(bool(groups.agg(F.bool_or("any_missing")).first()[0]))
+    rows = rows.where((c("JournalISSN") == c("JournalEISSN")) | lacks).select(
+        "PID", "Year", "Title", "PublicationType", "LastUpdated", "n", "JournalISSN", "JournalEISSN", "clean_notes"
+    )
     keyed = _keyed_by_initials(rows, authors).where(not_matching(c("Title"), STOP_TITLES))
     if stop_list is not None:
         listed = stop_list.select(c("PID").cast("bigint").alias("PID"), "Title")
@@ -572,17 +583,55 @@ def check_unit_before_start(authors: DataFrame, pubs: DataFrame, organisations:
 
 # --- registry ----------------------------------------------------------------------
 
+@dataclass(frozen=True)
+class Groups:
+    """How many rows a check has for each group of publications of one key.
+
+    ``key`` has the parts of the key, ``where`` the rows that belong to a group. A group has ``value`` rows, an expression over
+    ``n`` (its publications within the prefilter), ``n_all`` (all of them) and ``amount`` (the largest ``amount`` of its rows).
+    """
+
+    key: tuple[Column, ...]
+    where: Column
+    value: str
+    amount: Column | None = None
+
+
+def _repeats(key: Callable[[], Column], value: str) -> Callable[[], list[Groups]]:
+    return lambda: [Groups((key(),), key().isNotNull(), value)]
+
+
+def _issn_groups() -> list[Groups]:
+    return [Groups((F.lit(n), c(n), c("PID"), c("Year")), bad_issn(n), "if(n > 0, 1, 0)") for n in ("JournalISSN", "JournalEISSN")]
+
+
+def _isbn_groups() -> list[Groups]:
+    return [Groups((c("PID"), c("ISBN"), c("Year")), n_bad_isbn() > 0, "if(n > 0, amount, 0)", n_bad_isbn())]
+
+
+def _chapter_groups() -> list[Groups]:
+    return [Groups((c("Title"),), (c("PublicationType") == CHAPTER) & (F.length("Title") < 20), "if(n > 1, 1, 0)")]
+
+
+def _stale_groups(as_of: dt.date) -> list[Groups]:
+    return [Groups((c("PublicationType"), F.year("CreatedDate")), not_checked(as_of), "if(n_all > 0, 1, 0)")]
+
+
 @dataclass(frozen=True)
 class Check:
     """How one check is run, sorted and linked.
 
-    ``weight`` counts a row check's hits per source row, which is what lets the
-    statistics of all row checks come from one scan.
+    ``weight`` counts a row check's rows per source row, which is what lets the
+    statistics of all row checks come from one scan. ``groups`` does the same for
+    checks whose rows are groups of publications, see :class:`Groups`; ``linked``
+    for rows of authors that are joined with their publications.
     """
 
     run: Callable[..., DataFrame]
     needs: tuple[str, ...]
     weight: Callable[..., Column] | None = None
+    groups: Callable[..., list[Groups]] | None = None
+    linked: tuple[Callable[[], Column], str] | None = None
     order: tuple[str, ...] = ()
     links: dict[str, str] = field(default_factory=dict)
 
@@ -602,29 +651,31 @@ CHECKS: dict[str, Check] = {
     "submission_status_invalid": Check(
         check_submission_status, ("pubs",), lambda: _flag(submission_status_invalid()), links=_IDS),
     "missing_staffid": Check(
-        check_missing_staff_id, ("authors", "pubs"), order=("-LastUpdated",),
+        check_missing_staff_id, ("authors", "pubs"), linked=(missing_staff_id, "inner"), order=("-LastUpdated",),
         links={**_PID, "name": "freetextsearch", "orcid": "ORCID", "DOI": "DOI", "ScopusId": "ScopusID"}),
-    "missing_aid": Check(check_missing_aid, ("authors", "pubs"), order=("-LastUpdated",), links=_PID),
+    "missing_aid": Check(
+        check_missing_aid, ("authors", "pubs"), linked=(missing_staff_id, "inner"), order=("-LastUpdated",), links=_PID),
     "missing_orcids": Check(check_missing_orcids, ("authors",), order=("-n_na_pubs",), links={"orcid": "ORCID"}),
     "missing_confpubdate": Check(check_missing_date, ("pubs",), lambda: _flag(missing_date())),
     "missing_journal_ids": Check(
         check_missing_journal_ids, ("pubs",), lambda: _flag(missing_journal_ids()),
         links={"PID": "PID", "Title": "titlesearch", "DOI": "DOI", "ScopusId": "ScopusID", "Name": "freetextsearch"}),
-    "odd_book_chapters": Check(check_book_chapter_titles, ("pubs",), order=("-n",)),
+    "odd_book_chapters": Check(check_book_chapter_titles, ("pubs",), groups=_chapter_groups, order=("-n",)),
     "invalid_ISI": Check(check_invalid_isi, ("pubs",), lambda: _flag(bad_format("ISI", ids.ISI_FORMAT)), links=_IDS),
     "invalid_DOI": Check(check_invalid_doi, ("pubs",), lambda: _flag(bad_format("DOI", ids.DOI_FORMAT)), links=_IDS),
     "invalid_ISSN": Check(
         check_invalid_issn, ("pubs",),
-        lambda: _flag(bad_issn("JournalISSN")) + _flag(bad_issn("JournalEISSN")), links=_PID),
+        lambda: _flag(bad_issn("JournalISSN")) + _flag(bad_issn("JournalEISSN")), groups=_issn_groups, links=_PID),
     "invalid_staffid": Check(check_invalid_staff_id, ("authors",), lambda: _flag(invalid_staff_id()), links=_IDS),
     "invalid_aid": Check(
         check_invalid_aid, ("authors",), lambda: _flag(bad_format("staffid", ids.AUTHORITY_ID_FORMAT)), links=_IDS),
     "invalid_orcid": Check(
-        check_invalid_orcid, ("authors", "pubs"), lambda: _flag(bad_format("orcid", ids.ORCID_FORMAT)), links=_IDS),
+        check_invalid_orcid, ("authors", "pubs"), lambda: _flag(bad_format("orcid", ids.ORCID_FORMAT)),
+        linked=(lambda: bad_format("orcid", ids.ORCID_FORMAT), "left"), links=_IDS),
     "invalid_scopusid": Check(
         check_invalid_scopus_id, ("pubs",), lambda: _flag(bad_format("ScopusId", ids.SCOPUS_FORMAT)),
         order=("-Year",), links=_IDS),
-    "invalid_isbn": Check(check_invalid_isbn, ("pubs",), n_bad_isbn, links={"PID": "PID", "ISBN": "ISBN"}),
+    "invalid_isbn": Check(check_invalid_isbn, ("pubs",), n_bad_isbn, groups=_isbn_groups, links={"PID": "PID", "ISBN": "ISBN"}),
     "invalid_use_isbn": Check(
         check_invalid_use_isbn, ("pubs",), lambda: _flag(invalid_use_isbn()), order=("-LastUpdated",),
         links={"PID": "PID", "Title": "titlesearch", "ISBN": "ISBN"}),
@@ -633,19 +684,20 @@ CHECKS: dict[str, Check] = {
     "uncertain_published": Check(
         check_uncertain_published, ("pubs",), lambda: _flag(published_by_note()) + _flag(published_by_check())),
     "multiplettes_scopusid": Check(
-        check_duplicate_scopus_id, ("pubs", "expand_against"),
+        check_duplicate_scopus_id, ("pubs", "expand_against"), groups=_repeats(lambda: c("ScopusId"), "if(n > 1, n_all, 0)"),
         order=("-n_pids", "-ScopusId", "-LastUpdated"), links=_TITLED),
     # the established report shows the bare Scopus id in this one
     "multiplettes_DOI": Check(
-        check_duplicate_doi, ("pubs",), order=("-n_pids", "-DOI", "-LastUpdated"),
+        check_duplicate_doi, ("pubs",), groups=_repeats(lambda: F.lower("DOI"), "if(n > 1, n, 0)"), order=("-n_pids", "-DOI", "-LastUpdated"),
         links={k: v for k, v in _TITLED.items() if k != "ScopusId"}),
     "multiplettes_ISI": Check(
-        check_duplicate_isi, ("pubs", "expand_against"), order=("-n_pids", "-ISI", "-LastUpdated"), links=_TITLED),
+        check_duplicate_isi, ("pubs", "expand_against"), groups=_repeats(lambda: c("ISI"), "if(n > 1, n_all, 0)"), order=("-n_pids", "-ISI", "-LastUpdated"), links=_TITLED),
     "manuscripts_with_identifiers": Check(
         check_manuscripts_with_identifiers, ("pubs",), lambda: _flag(manuscript_with_identifier()),
         order=("-LastUpdated",), links={**_TITLED, "PMID": "PMID"}),
     "non_qc": Check(
-        check_not_checked, ("pubs", "as_of"), lambda as_of: _flag(not_checked_since(as_of)), links=_PID),
+        check_not_checked, ("pubs", "as_of", "since"), lambda as_of, since: _flag(not_checked_since(as_of, since)), links=_PID),
     "non_qc_stale": Check(
-        check_not_checked_stale, ("pubs", "as_of"), lambda as_of: _flag(not_checked(as_of)), order=("-y",)),
+        check_not_checked_stale, ("pubs", "as_of"), lambda as_of: _flag(not_checked(as_of)), groups=_stale_groups,
+        order=("-y",)),
 }
