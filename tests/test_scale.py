@@ -4,6 +4,7 @@ import math
 import random
 import string
 
+import pytest
 from pyspark.sql import Window as W, functions as F
 
 from bibweave.functions.distance import jaro_winkler, osa
@@ -41,7 +42,9 @@ def _series(spark):
     return spark.createDataFrame(rows, "k string, t int, v int")
 
 
-def test_chunked_windows_equal_plain_windows(spark):
+@pytest.mark.parametrize("fan", [2, 1024])
+def test_chunked_windows_equal_plain_windows(spark, monkeypatch, fan):
+    monkeypatch.setattr(ordered, "FAN", fan)  # two chunks a level, so that values come over several levels
     df = _series(spark)
     cut = ordered.by_width("t", 37)
     w = W.partitionBy("k").orderBy("t")
@@ -58,6 +61,15 @@ def test_chunked_windows_equal_plain_windows(spark):
     assert key(got.collect()) == key(want.collect())
 
 
+def test_chunks_by_date(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "FAN", 40)
+    df = spark.sql("SELECT date_add(DATE'2020-01-01', cast(id * 3 as int)) AS t, if(id % 5 = 0, id, null) AS v FROM range(300)")
+    w = W.orderBy("t").rowsBetween(W.unboundedPreceding, 0)
+    want = df.select("t", F.sum("v").over(w).alias("total"), F.last("v", ignorenulls=True).over(w).alias("filled")).collect()
+    got = ordered.fill_down(ordered.running_total(df, "v", ["t"], F.trunc("t", "month")), "v", ["t"], F.trunc("t", "month"), name="filled")
+    assert sorted((r.t, r.total, r.filled) for r in got.collect()) == sorted((r.t, r.total, r.filled) for r in want)
+
+
 def test_chunk_numbers(spark):
     df = spark.range(51).withColumnRenamed("id", "i")
     sizes = lambda short: [r.n for r in ordered.chunk_numbers(df, ["i"], ordered.by_width("i", 7), 25, short_first=short).groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()]
