@@ -14,6 +14,7 @@ from bibweave.operators.joins import absent_from, by_lower, present_in
 from bibweave.operators.lookups import with_genre
 from bibweave.operators.reshape import rename_by_mapping
 from bibweave.operators.setops import stack
+from bibweave.session import cut_lineage
 
 c = F.col
 
@@ -84,11 +85,46 @@ def due_for_import(batch: DataFrame, pubs: DataFrame, as_of: dt.date, eid: str =
     return absent_from(batch, pubs.where(c("ScopusId").isNotNull()), eid, "ScopusId").where(c(cover) <= F.lit(as_of))
 
 
-def snapshot_changes(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(key, change, field, old, new): added and removed rows, changed cells."""
-    side = lambda t, tag: t.select(
-        key, F.struct(*[c(x).cast("string").alias(x) for x in columns]).alias(tag)
-    )
+def _bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(c(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def snapshot_digests(table: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
+    """(bucket, n, d0, d1): rows of each bucket of keys and the sums of two 64-bit hashes of their cells.
+
+    Digests of a snapshot can be kept beside it, so that a later comparison doesn't read its rows.
+    """
+    cells = [c(x).cast("string") for x in [key, *columns]]
+    # a missing cell is told from an empty one, and sums, unlike exclusive or, tell repeated rows
+    marked = [F.coalesce(F.concat(F.lit("="), x), F.lit("-")) for x in cells]
+    total = lambda salt: F.sum(F.xxhash64(F.lit(salt), *marked).cast("decimal(38,0)"))
+    rows = table.select(_bucket(key, buckets).alias("bucket"), key, *[x for x in columns if x != key])
+    return rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), total(0).alias("d0"), total(1).alias("d1"))
+
+
+def differing_buckets(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(bucket) of every bucket whose digests are not the same on both sides.
+
+    Two different buckets would pass for equal with a chance of about one in 2**128.
+    """
+    both = old.withColumn("side", F.lit(1)).unionByName(new.withColumn("side", F.lit(-1)))
+    return both.groupBy("bucket", "n", "d0", "d1").agg(F.sum("side").alias("balance")).where("balance != 0").select("bucket").distinct()
+
+
+def snapshot_changes(
+    old: DataFrame, new: DataFrame, key: str, columns: list[str], buckets: int = 4096, old_digests: DataFrame | None = None
+) -> DataFrame:
+    """(key, change, field, old, new): added and removed rows, changed cells.
+
+    Both snapshots are digested by buckets of keys, without a shuffle of rows; only rows of buckets that differ are joined.
+    """
+    parts = old_digests if old_digests is not None else snapshot_digests(old, key, columns, buckets)
+    differing = cut_lineage(differing_buckets(parts, snapshot_digests(new, key, columns, buckets)), "differing")
+
+    def side(table: DataFrame, tag: str) -> DataFrame:
+        rows = table.withColumn("__bucket", _bucket(key, buckets)).join(differing, c("__bucket") == c("bucket"), "left_semi")
+        return rows.select(key, F.struct(*[c(x).cast("string").alias(x) for x in columns]).alias(tag))
+
     both = side(old, "a").join(side(new, "b"), key, "full")
     cells = F.filter(
         F.array(

@@ -409,6 +409,16 @@ def x08(spark, d):
     return x.snapshot_changes(old, new, "k", ["s", "cu"])
 
 
+@query("x08_one_changed_row", """SELECT max(o_orderkey) AS k, 'changed' AS change, 's' AS field, max_by(o_orderstatus, o_orderkey) AS old,
+concat(max_by(o_orderstatus, o_orderkey), '!') AS new FROM orders""")
+def x08_one(spark, d):
+    """A snapshot and the same with one cell changed: one bucket is joined."""
+    o = table(spark, d, "orders").select(c("o_orderkey").alias("k"), c("o_orderstatus").alias("s"), c("o_custkey").alias("cu"))
+    last = o.agg(F.max("k")).first()[0]
+    new = o.withColumn("s", F.when(c("k") == last, F.concat("s", F.lit("!"))).otherwise(c("s")))
+    return x.snapshot_changes(o, new, "k", ["s", "cu"])
+
+
 @query("x12_missing_places", """SELECT l_suppkey AS place, count(DISTINCT l_orderkey) AS n FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal > 5000
 WHERE s_suppkey IS NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3) GROUP BY 1""")
 def x12(spark, d):

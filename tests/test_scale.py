@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from bibweave.functions.distance import jaro_winkler, osa
-from bibweave.operators import linkage, ordered, search
+from bibweave.operators import crosscheck, linkage, ordered, search
 from bibweave.operators.groups import collapse, with_count
 from bibweave.operators.setops import compare_pairs
 
@@ -173,3 +173,19 @@ def test_wider_divides_a_hot_key_and_keeps_repetitions(spark):
     assert len(rows) > 1
     values = sorted(int(x) for r in rows for cell in (r.a, r.b) if cell for x in cell.split("|"))
     assert values == sorted([*range(12000), *range(10)])
+
+
+def test_snapshots_join_only_the_buckets_that_differ(spark):
+    rows = [(i, f"v{i}", None if i % 7 else "") for i in range(3000)]
+    old = spark.createDataFrame(rows + [(None, "n", None)], "k long, a string, b string")
+    changed = [(k, a + "!" if k == 5 else a, None if k == 14 else b) for k, a, b in rows if k != 9] + [(None, "n", None), (9000, "new", None)]
+    new = spark.createDataFrame(changed, "k long, a string, b string").repartition(3)
+    digests = lambda t: crosscheck.snapshot_digests(t, "k", ["a", "b"], 512)
+    assert crosscheck.differing_buckets(digests(old), digests(old.repartition(7))).count() == 0
+    assert crosscheck.differing_buckets(digests(old), digests(new)).count() == 4
+    twice = old.union(old.where("k = 3"))  # a row that repeats
+    assert crosscheck.differing_buckets(digests(old), digests(twice)).count() == 1
+    expected = {(5, "changed", "a", "v5", "v5!"), (14, "changed", "b", "", None), (9, "removed", None, None, None), (9000, "added", None, None, None)}
+    for kept in (None, digests(old)):
+        got = {tuple(r) for r in crosscheck.snapshot_changes(old, new, "k", ["a", "b"], 512, kept).collect() if r["k"] is not None}
+        assert got == expected
