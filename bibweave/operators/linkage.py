@@ -11,6 +11,7 @@ the ones after it, number at most ``k``, which bounds the shifts to try.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -118,9 +119,12 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, title: str, k: int, hot_pairs
     return scored.select(c("a").alias("left_title"), c("b").alias("right_title"), "osa_dist").distinct()
 
 
-def title_links(left: DataFrame, right: DataFrame, title: str = "title", id_col: str = "id", k: int = 3) -> DataFrame:
-    """First row of every title on both sides, linked within ``k`` edits, with scores."""
-    one = lambda t: first_row(t.where(c(title).isNotNull()), [title], [c(id_col)])
+def title_links(
+    left: DataFrame, right: DataFrame, title: str = "title", id_col: str = "id", k: int = 3, first: bool = True
+) -> DataFrame:
+    """Rows linked by titles within ``k`` edits, with scores: the first row of every title on both sides, or every row."""
+    titled = lambda t: t.where(c(title).isNotNull())
+    one = lambda t: first_row(titled(t), [title], [c(id_col)]) if first else titled(t)
     a = one(left).select(c(id_col).alias("from_id"), c(title).alias("left_title"))
     b = one(right).select(c(id_col).alias("to_id"), c(title).alias("right_title"))
     pairs = fuzzy_pairs(a.select(c("left_title").alias("t")), b.select(c("right_title").alias("t")), "t", k)
@@ -151,18 +155,66 @@ def link_table(
     sure = exact.select("from_id", "to_id", "right_title", "strength", F.lit(1).alias("__o"))
     order = [c("__o"), c("strength").desc(), c("from_id"), c("to_id")]
     once = first_row(near.unionByName(sure), ["right_title"], order)
-    kept = once.where((c("strength") != 0) & (c("__o") == 0 if parity else F.lit(True)))
-    return kept.select(
-        F.lit(source).alias("from"), c("from_id").cast("string").alias("from_id"), F.lit(target).alias("to"),
-        c("to_id").cast("string").alias("to_id"), "strength", F.lit(None).cast("boolean").alias("curated"),
-        F.lit(as_of).alias("date"),
-    )
+    return _linked(once.where((c("strength") != 0) & (c("__o") == 0 if parity else F.lit(True))), source, target, as_of)
 
 
 def master_links(*tables: DataFrame) -> DataFrame:
     return stack(*tables)
 
 
+@dataclass(frozen=True)
+class SourcePair:
+    """How two sources are linked: by titles within ``edits``, by ``number``, or both; ``first`` takes the first row of a title."""
+
+    source: str
+    target: str
+    edits: int | None = None
+    number: bool = False
+    first: bool = False
+    master: bool = True
+
+
+# The pairs of project sources, and which of them stay out of the master table.
+SOURCE_PAIRS = [
+    SourcePair("case", "swecris", 3, number=True, first=True),
+    SourcePair("case", "cordis", 3, first=True, master=False),
+    SourcePair("case", "openaire", 3, first=True),
+    SourcePair("case", "vinnova", 3, first=True),
+    SourcePair("case", "formas", 3, first=True),
+    SourcePair("swecris", "vinnova", number=True),
+    SourcePair("swecris", "formas", number=True),
+    SourcePair("swecris", "cordis", 3),
+    SourcePair("swecris", "openaire", 4),
+    SourcePair("cordis", "openaire", 2),
+]
+
+
+def source_links(sources: dict[str, DataFrame], pair: SourcePair, as_of: dt.date) -> DataFrame:
+    """The link table of one pair; a source has id, title and number."""
+    a, b = sources[pair.source], sources[pair.target]
+    exact = exact_links(a, b)
+    if pair.edits is None:
+        return _linked(exact, pair.source, pair.target, as_of)
+    fuzzy = title_links(a, b, k=pair.edits, first=pair.first)
+    if pair.first:
+        return link_table(fuzzy, exact if pair.number else exact.limit(0), pair.source, pair.target, as_of)
+    return _linked(fuzzy.withColumn("strength", c("levenshtein_score")), pair.source, pair.target, as_of)
+
+
+def linked_sources(sources: dict[str, DataFrame], as_of: dt.date, pairs: list[SourcePair] = SOURCE_PAIRS, master: bool = True) -> DataFrame:
+    """The link tables of all pairs of sources that are given, or (``master``) of those that make up the master table."""
+    wanted = [p for p in pairs if {p.source, p.target} <= set(sources) and (p.master or not master)]
+    return master_links(*[source_links(sources, p, as_of) for p in wanted])
+
+
+def _linked(rows: DataFrame, source: str, target: str, as_of: dt.date) -> DataFrame:
+    return rows.select(
+        F.lit(source).alias("from"), c("from_id").cast("string").alias("from_id"), F.lit(target).alias("to"),
+        c("to_id").cast("string").alias("to_id"), "strength", F.lit(None).cast("boolean").alias("curated"),
+        F.lit(as_of).alias("date"),
+    )
+
+
 # Letters from rare to common, for the order of match tokens.
 RARE_FIRST = "ZQJXKVBWPYGFMUCLDRHSNIOTAE "
 

@@ -238,6 +238,45 @@ UNIT_A = "SELECT DISTINCT concat(upper(p_type), ' ', p_name) AS name FROM part"
 UNIT_B = "SELECT DISTINCT concat(p_type, ' ', p_name, 's') AS name FROM part"
 
 
+# Six sources with a row per supplier (and some titles twice), titles up to five edits apart, numbers of their own.
+SOURCES = {"case": (0, 1), "swecris": (1, 3), "cordis": (0, 2), "openaire": (2, 2), "vinnova": (3, 2), "formas": (1, 5)}
+SOURCE_T = """SELECT s_suppkey AS id, CASE (s_suppkey + {shift}) % 4 WHEN 0 THEN concat('grant ', md5(CAST(s_suppkey AS VARCHAR(20))))
+WHEN 1 THEN concat('grnat ', md5(CAST(s_suppkey AS VARCHAR(20)))) WHEN 2 THEN concat('a grant ', md5(CAST(s_suppkey AS VARCHAR(20))))
+ELSE concat('grant ', substr(md5(CAST(s_suppkey AS VARCHAR(20))), 1, 29)) END AS title, concat('2000-', lpad(CAST(s_suppkey * {times} AS VARCHAR(20)), 5, '0')) AS number
+FROM supplier UNION ALL SELECT s_suppkey + 1000000, concat('grant ', md5(CAST(s_suppkey AS VARCHAR(20)))), NULL FROM supplier WHERE s_suppkey % 7 = {shift}"""
+
+
+def _sources(spark, d):
+    read = lambda shift, times: spark.sql(SOURCE_T.format(shift=shift, times=times).replace("FROM supplier", "FROM {s}"), s=table(spark, d, "supplier"))
+    return {name: read(*how) for name, how in SOURCES.items()}
+
+
+def _sources_sql(master: bool) -> str:
+    heads = ", ".join(f"from_{n} AS ({SOURCE_T.format(shift=a, times=b)})" for n, (a, b) in SOURCES.items())
+    parts = []
+    for p in linkage.SOURCE_PAIRS:
+        if master and not p.master:
+            continue
+        exact = f"SELECT a.id AS f, b.id AS t, b.title AS tt, 1.0 AS strength, 1 AS o FROM from_{p.source} a JOIN from_{p.target} b ON a.number = b.number"
+        one = "QUALIFY row_number() OVER (PARTITION BY title ORDER BY id) = 1" if p.first else ""
+        # titles of different suppliers are never near
+        fuzzy = f"""SELECT a.id AS f, b.id AS t, b.title AS tt, 1 - levenshtein(a.title, b.title) / greatest(length(a.title), length(b.title)) AS strength, 0 AS o
+          FROM (SELECT * FROM from_{p.source} {one}) a JOIN (SELECT * FROM from_{p.target} {one}) b ON a.id % 1000000 = b.id % 1000000 AND damerau_levenshtein(a.title, b.title) <= {p.edits}"""
+        rows = exact if p.edits is None else f"{fuzzy} UNION ALL {exact}" if p.number else fuzzy
+        pick = "QUALIFY row_number() OVER (PARTITION BY tt ORDER BY o, strength DESC, f, t) = 1" if p.first else ""
+        parts.append(f"""SELECT '{p.source}' AS "from", CAST(f AS VARCHAR) AS from_id, '{p.target}' AS "to", CAST(t AS VARCHAR) AS to_id, round(CAST(strength AS DOUBLE), 6) AS strength,
+          CAST(NULL AS BOOLEAN) AS curated, '2001-08-01' AS date FROM (SELECT * FROM ({rows}) {pick})""")
+    return f"WITH {heads} " + " UNION ALL ".join(parts)
+
+
+for _name, _master in [("l05_master_table", True), ("l05_all_source_pairs", False)]:
+    @query(_name, _sources_sql(_master))
+    def _l05(spark, d, _master=_master):
+        """Ten pairs of sources, each with its own distance; the master table leaves one out."""
+        out = linkage.linked_sources(_sources(spark, d), AS_OF, master=_master)
+        return out.withColumn("strength", F.round("strength", 6))
+
+
 @query("l06_best_matches", f"""WITH a AS ({UNIT_A}), b AS ({UNIT_B}),
 j AS (SELECT a.name, b.name AS match, 1 - jaro_similarity(upper(a.name), upper(b.name)) AS distance FROM a, b)
 SELECT name, match, round(distance, 6) AS distance FROM j WHERE distance <= 0.1 QUALIFY row_number() OVER (PARTITION BY name ORDER BY round(distance, 9), match) = 1""")
