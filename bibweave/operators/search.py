@@ -2,13 +2,14 @@
 
 A query matches a text when all its words occur within a short stretch; the
 score is BM25 over the occurrences inside such stretches. Texts are read once
-into (doc, term, position) rows; a query is looked up by its rarest word only,
-so a common word never meets every text that has it.
+into postings, one row per text and query word with its places; a query is
+looked up by its rarest word only, so a common word never meets every text that
+has it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bibweave.functions.text import first_words, match_text
 from bibweave.session import cut_lineage
@@ -31,33 +32,59 @@ def query_terms(queries: DataFrame, key: str, text: str, n_words: int = 4) -> Da
     )
 
 
+def postings(corpus: DataFrame, doc: str, text: str, vocabulary: DataFrame) -> DataFrame:
+    """(doc, len, term, places, first): the places of each word of the vocabulary in each text, in order, from one reading.
+
+    Every text has one row that is ``first``, also one without any of the words (its term is missing), so the rows tell the
+    number of texts and their mean length as well.
+    """
+    texts = corpus.select(c(doc).alias("doc"), F.explode(F.array(tokens(c(text)))).alias("words"))
+    placed = texts.select("doc", F.size("words").alias("len"), F.posexplode_outer("words").alias("pos", "word"))
+    known = vocabulary.select(c("term").alias("wanted"))
+    met = placed.join(known, c("word") == c("wanted"), "left").where("wanted is not null or coalesce(pos, 0) = 0")
+    return met.groupBy("doc", "len", c("wanted").alias("term")).agg(
+        F.sort_array(F.collect_list("pos")).alias("places"), F.max(F.coalesce("pos", F.lit(0)) == 0).alias("first"))
+
+
+def _within(places: Column, around: Column, low: int, high: int) -> Column:
+    """The places that have one of ``around`` at most ``low`` before or ``high`` behind them."""
+    return F.filter(places, lambda p: F.exists(around, lambda r: (r >= p - low) & (r <= p + high)))
+
+
+def _together(found: Column, spread: int) -> Column:
+    """Per word of a query how often it stands in a stretch that has all its words.
+
+    ``found`` are structs (n, term, places), fewest places first. Only places near one of the rarest word's are looked at.
+    """
+    rare = F.get(found, F.lit(0))["places"]
+    near = F.transform(found, lambda f: F.struct(f["term"].alias("term"), _within(f["places"], rare, spread, spread).alias("places")))
+    every = F.array_distinct(F.flatten(F.transform(near, lambda f: f["places"])))
+    opens = F.filter(every, lambda p: F.forall(near, lambda f: F.exists(f["places"], lambda x: (x >= p) & (x <= p + spread))))
+    return F.transform(near, lambda f: F.struct(f["term"].alias("term"), F.size(_within(f["places"], opens, spread, 0)).alias("tf")))
+
+
 def search(corpus: DataFrame, doc: str, text: str, terms: DataFrame, near: int = NEAR) -> DataFrame:
     """(query, doc, score) of all matches. ``terms`` has (query, idx, term).
 
-    Runs one job: the occurrences of the query words are written to the shared
-    folder, because four later steps read them and reading texts is the cost.
+    Runs one job: the postings of the query words are written to the shared folder, because the later steps read them and
+    reading texts is the cost.
     """
-    spread = near + 1
-    texts = corpus.select(c(doc).alias("doc"), F.explode(F.array(tokens(c(text)))).alias("words"))
-    size = texts.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("words")).alias("avg_len"))
     wanted = terms.select("query", "term").distinct()
-    vocabulary = wanted.select("term").distinct()
-    placed = texts.select("doc", F.size("words").alias("len"), F.posexplode("words").alias("pos", "term"))
-    occurrences = cut_lineage(placed.join(vocabulary, "term", "left_semi"), "occurrences")
-    in_docs = occurrences.select("term", "doc").distinct()
-    frequency = in_docs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    stored = cut_lineage(postings(corpus, doc, text, wanted.select("term").distinct()), "postings")
+    size = stored.where("first").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("avg_len"))
+    listed = stored.where("term is not null")
+    frequency = listed.select("term", "doc").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     known = wanted.join(frequency, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     lead = known.groupBy("query").agg(
         F.min_by("term", F.struct("df", "term")).alias("term"), F.count(F.lit(1)).alias("n_terms")
     )
-    candidates = lead.join(in_docs, "term").select("query", "doc", "n_terms")
-    rows = candidates.join(wanted, "query").join(occurrences, ["doc", "term"])
-    # positions of one query in one text, in order; the frame spans `near` words
-    ahead = W.partitionBy("query", "doc").orderBy("pos").rangeBetween(0, spread)
-    behind = W.partitionBy("query", "doc").orderBy("pos").rangeBetween(-spread, 0)
-    opens = rows.withColumn("opens", F.size(F.collect_set("term").over(ahead)) == c("n_terms"))
-    inside = opens.withColumn("inside", F.max("opens").over(behind)).where("inside")
-    tf = inside.groupBy("query", "doc", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("len").alias("len"))
+    candidates = lead.join(listed.select("term", "doc").distinct(), "term").select("query", "doc", "n_terms")
+    rows = candidates.join(wanted, "query").join(listed, ["doc", "term"])
+    # a group has as many rows as its query has words
+    found = rows.groupBy("query", "doc", "len", "n_terms").agg(
+        F.sort_array(F.collect_list(F.struct(F.size("places").alias("n"), "term", "places"))).alias("found")
+    ).where(F.size("found") == c("n_terms"))
+    tf = found.select("query", "doc", "len", F.explode(_together(c("found"), near + 1)).alias("x")).select("query", "doc", "len", "x.*").where("tf > 0")
     weights = terms.groupBy("query", "term").agg(F.count(F.lit(1)).alias("times")).join(frequency, "term")
     n, avg_len = size.select("n_docs").scalar(), size.select("avg_len").scalar()
     idf = F.log((n - c("df") + 0.5) / (c("df") + 0.5))
