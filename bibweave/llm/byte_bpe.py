@@ -16,6 +16,7 @@ A null or empty text has no ids. Rows that repeat are encoded each; an empty tab
 from __future__ import annotations
 
 import base64
+import functools
 import json
 
 import numpy as np
@@ -23,6 +24,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bibweave.llm.shared import chosen
@@ -186,6 +188,7 @@ class Codec:
         self.pieces = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
+        self.texts = F.from_json(F.lit(json.dumps([p.decode("latin-1") for p in self.pieces], separators=(",", ":"))), "array<string>")
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
@@ -253,21 +256,23 @@ class Codec:
 
     def decode(self, ids: Column) -> Column:
         """The bytes that the ids stand for: their pieces, a character for each byte, joined."""
-        return F.encode(_joined(ids, [p.decode("latin-1") for p in self.pieces]), "ISO-8859-1")
+        pieces = let(self.texts, lambda t: F.transform(ids, lambda i: F.get(t, i)))
+        return F.encode(F.array_join(pieces, ""), "ISO-8859-1")
 
     def packed(self, ids: Column) -> Column:
         """The ids as little-endian unsigned 32-bit integers."""
-        return F.encode(_joined(ids, [i.to_bytes(4, "little").decode("latin-1") for i in range(len(self.pieces))]), "ISO-8859-1")
+        byte = lambda i, at: F.char(F.shiftright(i, 8 * at).bitwiseAND(F.lit(255)))
+        return F.encode(F.array_join(F.transform(ids, lambda i: F.concat(*[byte(i, at) for at in range(4)])), ""), "ISO-8859-1")
 
 
-def _joined(ids: Column, texts: list[str]) -> Column:
-    table = F.from_json(F.lit(json.dumps(texts, separators=(",", ":"))), "array<string>")
-    return F.array_join(let(table, lambda t: F.transform(ids, lambda i: F.get(t, i))), "")
+def public_codec() -> Codec:
+    """The rank file and pattern of the public vocabulary; made once per Spark context, as its literals are large."""
+    return _codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, SparkContext.getOrCreate())
 
 
-def public_codec() -> Codec:
-    """The rank file and pattern of the public vocabulary."""
-    return Codec(read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+@functools.lru_cache(maxsize=1)
+def _codec(path: str, pattern: str, context: SparkContext) -> Codec:
+    return Codec(read_ranks(path), pattern)
 
 
 def digests(docs: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text", cached_words: int = CACHED_WORDS) -> DataFrame:
