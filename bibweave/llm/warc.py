@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from bibweave.llm.shared import new_name, open_fs
-from bibweave.session import cut_lineage, run_dir
+from bibweave.session import cut_lineage, run_dir, spread
 
 #: Payload bytes after which an archive is closed; a longer record makes a longer archive.
 ARCHIVE_BYTES = 32_000_000
@@ -83,15 +83,18 @@ def records(chunks: Iterator[bytes]) -> Iterator[tuple[bytes, bytes]]:
 
 def inflated(stream, size: int = 1 << 18) -> Iterator[bytes]:
     """The content of a gzip file of one or more members, in pieces of bounded size."""
-    engine, data = zlib.decompressobj(31), b""
+    engine, data, within = zlib.decompressobj(31), b"", False
     while data := data or stream.read(size):
+        within = True
         if out := engine.decompress(data, 1 << 20):
             yield out
         data = engine.unconsumed_tail
         if engine.eof:
-            data, engine = engine.unused_data, zlib.decompressobj(31)
+            data, engine, within = engine.unused_data, zlib.decompressobj(31), False
     if rest := engine.flush():
         yield rest
+    if within:  # cut off, be it right behind a record
+        raise EOFError("the last gzip member has no end")
 
 
 def _member(record: bytes, level: int) -> bytes:
@@ -157,8 +160,6 @@ def _as_revisit(head: bytes, block: bytes, refers_to: int | None, archive: str,
 def normalise(files: DataFrame, level: int = 6) -> DataFrame:
     """``files``: file, revisits (may be null). Writes the normalised archives and their sidecars; a table: file, sidecar, n_records."""
     folder = run_dir(files.sparkSession, "warc-members")
-    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to, base = open_fs(folder)
         to.create_dir(base, recursive=True)
@@ -179,7 +180,7 @@ def normalise(files: DataFrame, level: int = 6) -> DataFrame:
                         offset, count = offset + len(member), count + 1
                 yield pa.RecordBatch.from_pydict({"file": [f"{folder}/{name}"], "sidecar": [f"{folder}/{name}.idx"], "n_records": pa.array([count], pa.int64())})
 
-    return cut_lineage(files.repartition(n, "file").mapInArrow(run, "file string, sidecar string, n_records long"), "warc-index")
+    return cut_lineage(spread(files, "file").mapInArrow(run, "file string, sidecar string, n_records long"), "warc-index")
 
 
 def read_record(member: bytes) -> dict:

@@ -1,6 +1,7 @@
 """The parts without Spark against plain versions."""
 
 import random
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -154,3 +155,15 @@ def test_codec_refuses_pieces_that_no_merge_gives():
         byte_bpe.Codec(ranks, r"\S+")
     with pytest.raises(ValueError, match="without a rank"):
         byte_bpe.rank_literal({b"a": 0})
+
+
+def test_a_stream_that_is_cut_off_is_an_error():
+    import gzip
+    import io
+
+    whole = gzip.compress(b"a" * 5000) + gzip.compress(b"b" * 10)
+    assert b"".join(warc.inflated(io.BytesIO(whole))) == b"a" * 5000 + b"b" * 10
+    assert b"".join(warc.inflated(io.BytesIO(b""))) == b""
+    for cut in (1, 8, 20, len(gzip.compress(b"b" * 10)) + 3):  # within the trailer, the data and the first member
+        with pytest.raises((EOFError, zlib.error)):
+            list(warc.inflated(io.BytesIO(whole[:-cut])))
