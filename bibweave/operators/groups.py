@@ -145,7 +145,7 @@ def most_frequent(df: DataFrame, keys: list[str], value: str, first_seen: str, n
         F.count(F.lit(1)).alias("__n"), F.min(first_seen).alias("__at")
     )
     return tallies.groupBy(*keys).agg(
-        F.max_by(F.col(value), F.struct(F.col("__n"), -F.col("__at"))).alias(name)
+        F.min_by(F.col(value), F.struct(-F.col("__n"), F.col("__at"))).alias(name)
     )
 
 

@@ -155,7 +155,7 @@ on_table("f17_tidy_xml", "pages", "page_id",
 @query("f18_clean_organisation", """SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE concat(s_name, 'Street', 'Town', '123', 'Land') END AS org FROM supplier""")
 def f18(spark, d):
     n = c("s_name")
-    raw = F.when(c("s_suppkey") % 2 == 0, F.concat(n, F.lit(" https://ror.org/026vcq606"))).otherwise(
+    raw = F.when(c("s_suppkey") % 2 == 0, F.concat(n, F.lit(" https://ror.org/000abc123"))).otherwise(
         F.concat(F.lit("organization="), n, F.lit("addressline=Streetcity=Townpostcode=123country=Land")))
     return table(spark, d, "supplier").select("s_suppkey", text.clean_organisation(raw).alias("org"))
 

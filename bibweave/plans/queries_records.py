@@ -102,7 +102,7 @@ def _abstracts(spark, d):
     o = table(spark, d, "orders")
     k, cu = c("o_orderkey").cast("string"), c("o_custkey").cast("string")
     person = lambda seq, x: T("a", ("@seq", seq), ("@auid", x), ("ce:surname", x), ("preferred-name", T("p", ("ce:surname", F.concat(F.lit("S"), x)), ("ce:given-name", "G"))))
-    org = F.array(T("v", ("$", F.concat(F.lit("Dept "), cu))), T("v", ("$", "Uni https://ror.org/026vcq606")))
+    org = F.array(T("v", ("$", F.concat(F.lit("Dept "), cu))), T("v", ("$", "Uni https://ror.org/000abc123")))
     g1 = T("g", ("author", F.array(person("1", cu), person("2", k))), ("affiliation", T("p", ("@afid", cu), ("@country", "swe"), ("organization", org), ("address-part", "Street 1"))))
     text = F.concat(F.lit("organization=Org "), k, F.lit("addressline=Acity=Bpostcode=1country=C"))
     g2 = T("g", ("author", person("3", F.concat(k, F.lit("z")))), ("affiliation", T("p", ("@afid", k), ("ce:source-text", text), ("$", "x"))))
