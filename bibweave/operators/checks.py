@@ -375,8 +375,9 @@ def check_duplicate_titles(
     """Same title and type. ``parity`` keeps the table-wide reading of the ISSN
     rule, by which one record without an ISSN lets every record through;
     otherwise the rule is applied record by record."""
+    # one element, so that the optimizer does not copy the clean-up into the filter
     cleaned = pubs.withColumns(
-        {"clean_notes": text.tidy_html(c("Notes")), "lc_title": text.title_key(c("Title"))}
+        {"clean_notes": F.explode(F.array(text.tidy_html(c("Notes")))), "lc_title": text.title_key(c("Title"))}
     ).where(not_matching(c("clean_notes"), NOT_DUPLICATE))
     lacks = c("JournalISSN").isNull() | c("JournalEISSN").isNull()
     key = ["lc_title", "PublicationType"]
