@@ -211,7 +211,10 @@ class Codec:
         order = np.argsort(h)
         lists = lists.take(pa.array(order)) if len(h) else lists
         lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        return h[order], np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32), lists.flatten().to_numpy().astype(np.int32)
+        found = h[order], np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32), lists.flatten().to_numpy().astype(np.int32)
+        del table, lists, h
+        pa.default_memory_pool().release_unused()  # the driver keeps the arrays, not what Arrow read them from
+        return found
 
     def encode(self, docs: DataFrame, key: str = "doc_id", text: str = "text", cached_words: int = CACHED_WORDS) -> DataFrame:
         """Per row: doc_id, text, ids (array of int)."""
