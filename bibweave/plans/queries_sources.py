@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from bibweave.operators import mods
-from bibweave.operators.groups import first_row
 from bibweave.operators.ordered import by_width
 from bibweave.plans.bindings import bound, with_bound
 from bibweave.plans.queries_records import _mods_texts
@@ -261,22 +260,18 @@ def t03(spark, d):
     return ids.select("identifier", F.date_format("datestamp", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
-@query("t04_refreshed_tables", "SELECT 'ids' AS name, count(DISTINCT user_id) AS value FROM events UNION ALL SELECT 'mods', count(DISTINCT user_id) FROM events")
+@query("t04_refreshed_tables", "SELECT 'ids' AS name, count(DISTINCT user_id) AS value FROM events UNION ALL SELECT 'mods', count(DISTINCT user_id) FROM events UNION ALL SELECT 'extra', count(DISTINCT user_id) FROM events WHERE event_type <> 'view'")
 def t04(spark, d):
     store = _harvest(spark, d)
     n = lambda t: harvest.current(spark, store, t).agg(F.count(F.lit(1)).alias("value")).select(F.lit(t).alias("name"), "value")
-    return n("ids").unionByName(n("mods"))
+    return n("ids").unionByName(n("mods")).unionByName(n("extra"))
 
 
 @query("t05_enriched", """WITH r AS (SELECT * FROM events WHERE event_type <> 'view' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
 SELECT concat('oai:', user_id) AS identifier, CAST(user_id AS VARCHAR) AS "PID", false AS "PID_many", CASE WHEN event_type = 'error' THEN 'deleted' END AS status, CAST(event_id AS VARCHAR) AS title FROM r""")
 def t05(spark, d):
-    """Every harvested version enriched; the newest per id shown."""
-    e = table(spark, d, "events")
-    status = F.when(c("event_type") == "error", F.lit("deleted"))
-    doc = F.when(c("event_type") == "view", F.lit("<record><header/><mods/></record>")).otherwise(_record(c("user_id"), c("event_id"), status))
-    rows = e.select(F.concat(F.lit("oai:"), c("user_id").cast("string")).alias("identifier"), c("ts").cast("timestamp").alias("datestamp"), doc.alias("mods"))
-    rich = first_row(harvest.enrich(rows), ["identifier"], [c("datestamp").desc()])
+    """The store's enrichment: of every id the newest version that has a record id."""
+    rich = harvest.current(spark, _harvest(spark, d), "extra")
     return rich.select("identifier", "PID", "PID_many", "status", F.get_json_object("json", "$.titleInfo[0].title").alias("title"))
 
 
