@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bibweave.functions import identifiers as ids, text
 from bibweave.functions.nulls import matching, n_distinct, not_in, not_matching, nullsafe_join, paste
 from bibweave.operators.groups import (
-    collapse, counts, initials, joined_sorted, nullsafe_outer, top_rows, with_count, with_group_values, with_piece,
+    collapse, counts, initials, joined_sorted, nullsafe_outer, top_rows, with_count, with_group_values,
 )
 from bibweave.operators.setops import stack
 from bibweave.session import cut_lineage
@@ -250,8 +250,8 @@ def check_invalid_orcid(authors: DataFrame, pubs: DataFrame, strict: bool = Fals
 def check_ambiguous_orcid(authors: DataFrame, examples: int = 10) -> DataFrame:
     """ORCIDs used with several staff ids.
 
-    The label lists the staff ids of the ORCID; should an ORCID have more ids
-    than fit one piece, a row's label lists the piece its own id belongs to.
+    The label lists all staff ids of the ORCID, in each of its rows, as the result asks for; so what is returned for one ORCID
+    grows with the square of its staff ids. Its rows are chosen and written once, and every part is made from those.
     """
     person = ["orcid", "staffid", "name", "autid"]
     rows = authors.where(c("orcid").isNotNull() & not_matching(c("staffid"), "^PI")).select(*person, "PID")
@@ -260,21 +260,20 @@ def check_ambiguous_orcid(authors: DataFrame, examples: int = 10) -> DataFrame:
         .agg(F.count_distinct("staffid").alias("n_staff"), F.count_distinct("PID").alias("tot_pids"))
         .where(c("n_staff") > 1)
     )
-    kept = rows.join(many.select("orcid", "tot_pids"), "orcid").distinct()
-    listed = with_piece(kept.select("orcid", "staffid").distinct(), ["orcid"], "staffid")
-    labels = listed.groupBy("orcid", "piece").agg(joined_sorted(c("staffid"), " ").alias("staffids"))
-    placed = listed.join(labels, ["orcid", "piece"]).drop("piece")
-    per_person = kept.groupBy(*person, "tot_pids").agg(F.count(c("PID")).alias("n_pids"))
+    kept = cut_lineage(rows.join(many.select("orcid", "tot_pids"), "orcid").distinct(), "ambiguous")
+    listed = kept.select("orcid", "staffid", "tot_pids").distinct()
+    labels = listed.groupBy("orcid", "tot_pids").agg(joined_sorted(c("staffid"), " ").alias("staffids"))
+    label = F.concat(
+        c("orcid"), F.format_string(" (tot=%03d ids=", c("tot_pids")), c("staffids"), F.lit(")"),
+    )
+    per_person = kept.groupBy(*person).agg(F.count(c("PID")).alias("n_pids"))
     shown = (
         top_rows(kept, person, [c("PID").asc_nulls_last()], examples)
         .groupBy(*person)
         .agg(F.array_join(F.array_sort(F.collect_list("PID")), " ").alias("example_pids"))
     )
-    label = F.concat(
-        c("orcid"), F.format_string(" (tot=%03d ids=", c("tot_pids")), c("staffids"), F.lit(")"),
-    )
-    joined = nullsafe_join(nullsafe_join(per_person, shown, person, "left"), placed, ["orcid", "staffid"])
-    return joined.select(label.alias("combo"), "staffid", "name", "autid", "n_pids", "example_pids")
+    joined = nullsafe_join(per_person, shown, person, "left").join(labels.select("orcid", label.alias("combo")), "orcid")
+    return joined.select("combo", "staffid", "name", "autid", "n_pids", "example_pids")
 
 
 def check_invalid_scopus_id(pubs: DataFrame) -> DataFrame:
@@ -446,7 +445,11 @@ def check_stale_organisations(
         .join(pubs.select("PID", "Year"), "PID", "left")
         .where(F.datediff(F.make_date("Year", F.lit(1), F.lit(1)), c("cd")) > overdue)
     )
-    alternatives = authors.join(opened, "orgid", "left_semi").select(*person, "PID", "orgid").distinct()
+    # both sides of the few people concerned are written once; all that follows reads those
+    stale = cut_lineage(stale, "stale")
+    who = stale.select(*person).distinct()
+    elsewhere = authors.join(opened, "orgid", "left_semi").select(*person, "PID", "orgid")
+    alternatives = cut_lineage(nullsafe_join(elsewhere, who, person).distinct(), "alternatives")
     single = (
         alternatives.groupBy(*person)
         .agg(
@@ -457,16 +460,14 @@ def check_stale_organisations(
         .drop("__max")
         .withColumn("alt_n_orgs", F.lit(1).cast("bigint"))
     )
-    who = stale.select(*person).distinct()
-    people = nullsafe_join(single, who, person)
-    mine = lambda t: nullsafe_join(t, people.select(*person), person)
+    mine = lambda t: nullsafe_join(t, single.select(*person), person)
     stale_orgs = mine(stale).groupBy(*person).agg(
         joined_sorted_set(c("orgid")).alias("stale_orgids")
     )
     stale_pids = collapse(mine(stale), person, "PID", "stale_pids")
     alt_pids = collapse(mine(alternatives), person, "PID", "alt_pids")
     pieces = nullsafe_outer(stale_pids, alt_pids, [*person, "piece"])
-    return nullsafe_join(nullsafe_join(people, stale_orgs, person), pieces, person).select(
+    return nullsafe_join(nullsafe_join(single, stale_orgs, person), pieces, person).select(
         *person, "stale_orgids", "alt_orgids", "alt_n_orgs", "alt_n_pids", "piece", "stale_pids", "alt_pids"
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W, functions as F
 
 from bibweave.functions.distance import jaro_winkler, osa
 from bibweave.operators import crosscheck, linkage, ordered, search
+from bibweave.operators.checks import check_ambiguous_orcid
 from bibweave.operators.groups import collapse, with_count
 from bibweave.operators.setops import compare_pairs
 
@@ -30,6 +31,16 @@ def test_collapse_missing_key_and_value(spark):
     assert got == {(None, "a b"), ("x", "c NA")}
 
 
+def test_label_of_an_ambiguous_orcid_lists_all_its_staff_ids(spark):
+    n = 5100
+    authors = spark.range(n).select(
+        c("id").alias("PID"), F.lit("0000-0001").alias("orcid"), F.format_string("u%05d", "id").alias("staffid"), F.lit("A, B").alias("name"), F.lit("x").alias("autid"),
+    )
+    labels = check_ambiguous_orcid(authors).groupBy("combo").agg(F.count("*").alias("rows")).collect()
+    assert [r.rows for r in labels] == [n]
+    assert labels[0].combo == f"0000-0001 (tot={n} ids={' '.join(f'u{i:05d}' for i in range(n))})"
+
+
 def test_with_count_matches_missing_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("x", 3)], "k string, v int")
     assert sorted((r.v, r.n) for r in with_count(df, ["k"]).collect()) == [(1, 2), (2, 2), (3, 1)]
