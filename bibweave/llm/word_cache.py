@@ -2,13 +2,15 @@
 
 The pre-tokenizer starts a token at a blank that a non-blank follows, and at both sides of a single line feed between
 non-blanks; a full stop or comma at a piece's end is a token of its own after a letter. Cutting there cannot change the ids
-(the tests compare with the library on whole texts), so pieces are looked up and only new ones are given to the library.
+(the tests compare with the library on whole texts), so pieces are looked up and only new ones are given to the library. Those
+without white space go there many at a time, as one text: its tokens that begin with a blank are where the pieces begin.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from itertools import filterfalse
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -16,19 +18,27 @@ from tokenizers import Tokenizer
 _LINES = re.compile(r"(?<=\S)\n(?=\S)")
 _BLANKS = re.compile(r" (?=\S)")
 _UNSURE = re.compile(r" \s| \Z")
+_SPACE = re.compile(r"\s")
+#: A blank at the begin of a token, as byte-level vocabularies write it (fixed value).
+BLANK = "Ġ"
 
 
 class WordCache:
     #: Pieces in the younger of two tables per worker; when it is full it becomes the older one, and what is still in use moves over.
-    LIMIT = 500_000
+    LIMIT = 1_000_000
+    #: Pieces given to the library as one text.
+    TOGETHER = 4096
     _open: dict[str, WordCache] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.newline = self._library(["\n"])[0]
+        self.newline, self.marks = self._library(["\n"])[0], dict(zip(".,", self._library([".", ","])))
 
     @classmethod
     def named(cls, path: str) -> WordCache:
@@ -40,30 +50,56 @@ class WordCache:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) > self.LIMIT:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        known.update((p, older[p]) for p in pieces.difference(known) if p in older)
-        new = pieces.difference(known)
-        ended = [p for p in new if p[-1:] in (".", ",") and p[-2:-1].isalpha()]
-        bases = {p[:-1] for p in ended}.union(new.difference(ended), (".", ",")).difference(known)
-        known.update((p, older[p]) for p in bases if p in older)
-        bases = sorted(bases.difference(known))
-        for at in range(0, len(bases), 4096):
-            some = bases[at : at + 4096]
-            known.update(zip(some, self._library(some)))
+    def _together(self, words: list[str]) -> list[bytes]:
+        """The ids of words that each follow a blank and hold no white space; one by one where the parts of the whole don't tell."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        begins = np.flatnonzero(self.blank[ids])
+        if len(begins) != len(words) or begins[0] != 0:
+            return self._library([" " + w for w in words])
+        cuts, data = [*(begins * 4).tolist(), len(ids) * 4], ids.tobytes()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self, new: set[str]) -> None:
+        """Puts the ids of pieces that the younger table lacks into it."""
+        new = new.difference(self._moved(new))
+        known = self.known
+        ended = [p for p in new if p[-1] in ".," and p[-2:-1].isalpha()]
+        bases = {p[:-1] for p in ended}.union(new.difference(ended)).difference(known)
+        bases = sorted(bases.difference(self._moved(bases)))
+        plain = [p for p in bases if not _SPACE.search(p)]
+        other = [p for p in bases if _SPACE.search(p)]
+        for at in range(0, len(plain), self.TOGETHER):
+            some = plain[at : at + self.TOGETHER]
+            known.update(zip(some, self._together(some)))
+        for at in range(0, len(other), self.TOGETHER):
+            some = other[at : at + self.TOGETHER]
+            known.update(zip(some, self._library([p[1:] if p[0] == "\n" else " " + p for p in some])))
         for p in ended:
-            known[p] = known[p[:-1]] + known[p[-1]]
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
+
+    def _moved(self, pieces: set[str]) -> set[str]:
+        """Those of the pieces that stood in the older table only, and now in the younger one."""
+        found = {p for p in pieces if p in self.older}
+        self.known.update((p, self.older[p]) for p in found)
+        return found
 
     @staticmethod
     def pieces(line: str) -> list[str]:
-        first, *rest = _BLANKS.split(line) if _UNSURE.search(line) else line.split(" ")
-        return [first, *[" " + x for x in rest]]
+        """The line cut before each blank that a non-blank follows. A piece that begins with a line feed stands at the begin of the
+        line, which it stands for; before each other piece, which begins with a non-blank, there was the blank."""
+        parts = _BLANKS.split(line) if _UNSURE.search(line) else line.split(" ")
+        parts[0] = "\n" + parts[0]
+        return parts
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.known) > self.LIMIT:
+            self.known, self.older = {}, self.known
         split = [[self.pieces(line) for line in _LINES.split(t)] for t in texts]
-        self._learn({p for lines in split for line in lines for p in line})
+        new: set[str] = set()
+        for lines in split:
+            for line in lines:
+                new.update(filterfalse(self.known.__contains__, line))
+        self._learn(new)
         get = self.known.__getitem__
         return [self.newline.join([b"".join(map(get, line)) for line in lines]) for lines in split]
