@@ -19,7 +19,7 @@ from bibweave.functions.distance import jaro_similarity, jaro_winkler_similarity
 from bibweave.functions.nulls import nullsafe_join
 from bibweave.operators.groups import counts, first_row
 from bibweave.operators.setops import stack
-from bibweave.session import spread
+from bibweave.session import cut_lineage, spread
 
 c = F.col
 HOT_PAIRS = 1_000_000
@@ -84,21 +84,46 @@ def _profile(title: str) -> list[Column]:
     ]
 
 
+# 32 classes of characters whose counts are compared; what is in none of them is not counted.
+CLASSES = [f"{x}{x.upper()}{dict(j='3', q='0', x='1', z='2').get(x, '')}" for x in "abcdefghijklmnopqrstuvwxyz"] + list("456789")
+
+
+def _signature(title: str) -> Column:
+    """Counts of 32 classes of characters, modulo four, two bits of Gray code each.
+
+    A count that changes by one changes one bit, and an edit changes at most
+    two counts by one, so texts within k edits differ in at most 2 * k bits."""
+    bits = F.lit(0).cast("long")
+    for i, chars in enumerate(CLASSES):
+        n = F.regexp_count(c(title), F.lit(f"[{chars}]")) % 4
+        bits = bits.bitwiseOR(F.shiftleft(n.bitwiseXOR(F.shiftright(n, 1)).cast("long"), 2 * i))
+    return bits
+
+
 def fuzzy_pairs(left: DataFrame, right: DataFrame, title: str, k: int, hot_pairs: int = HOT_PAIRS) -> DataFrame:
     """(left_title, right_title, osa_dist) of distinct titles at most ``k`` apart.
 
     Keys that would compare more than ``hot_pairs`` pairs are divided further
     by letter-class counts, the probing side trying every count within ``k``;
     this splits the group and loses no pair. The distance test is part of the
-    join, so only near pairs leave it.
+    join, so only near pairs leave it; signatures spare most pairs the test.
+
+    A probing title has many keys and an indexed one few, so the side with
+    fewer titles probes; the distance is the same both ways. Keys are many
+    times the titles they come from, which Spark's size estimates do not show:
+    their joins are merge joins, as a broadcast would pass them through the driver.
     """
-    a = spread(left.where(c(title).isNotNull()).select(c(title).alias("a")).distinct(), "a")
-    b = spread(right.where(c(title).isNotNull()).select(c(title).alias("b")).distinct(), "b")
+    titles = [t.where(c(title).isNotNull()).select(c(title).alias("t")).distinct() for t in (left, right)]
+    sides = [cut_lineage(spread(t, "t").withColumn("s", _signature("t")), "titles") for t in titles]
+    turned = sides[1].count() < sides[0].count()
+    few, many = reversed(sides) if turned else sides
+    a, b = spread(few.toDF("a", "sa"), "a"), spread(many.toDF("b", "sb"), "b")
     probe = _probed(a, "a", k)
     index = b.withColumn("key", F.explode(_indexed_keys("b", k)))
     keys = ["key"]
     size_a, size_b = counts(probe, keys, "na"), counts(index, keys, "nb")
-    hot = size_a.join(size_b, keys).where(c("na") * c("nb") > hot_pairs).select(*keys, F.lit(True).alias("hot"))
+    large = size_a.join(size_b.hint("merge"), keys).where(c("na") * c("nb") > hot_pairs)
+    hot = cut_lineage(large.select(*keys, F.lit(True).alias("hot")), "hot")
     pa, qa = _profile("a")
     pb, qb = _profile("b")
     offsets = ", ".join(
@@ -111,12 +136,17 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, title: str, k: int, hot_pairs
         t.join(hot, keys, "left").withColumn("x", F.explode(F.when(c("hot"), mine).otherwise(none)))
         .withColumns({"p": c("x.p"), "q": c("x.q")}).drop("x", "hot")
     )
-    close = F.levenshtein("a", "b", 2 * k) >= 0
-    pairs = split(probe, near).join(split(index, own), [*keys, "p", "q"]).where(close).select("a", "b")
+    close = (F.bit_count(c("sa").bitwiseXOR(c("sb"))) <= 2 * k) & (F.levenshtein("a", "b", 2 * k) >= 0)
+    if hot.isEmpty():
+        met = probe.join(index.hint("merge"), keys)
+    else:
+        met = split(probe, near).join(split(index, own).hint("merge"), [*keys, "p", "q"])
+    pairs = met.where(close).select("a", "b")
     # scored before the repetitions are removed: they are few, and the filter
     # would otherwise be pushed down and make the function run twice
     scored = pairs.withColumn("osa_dist", osa_distance(c("a"), c("b"))).where(c("osa_dist") <= k)
-    return scored.select(c("a").alias("left_title"), c("b").alias("right_title"), "osa_dist").distinct()
+    here, there = ("b", "a") if turned else ("a", "b")
+    return cut_lineage(scored.select(c(here).alias("left_title"), c(there).alias("right_title"), "osa_dist").distinct(), "near-titles")
 
 
 def title_links(
@@ -128,7 +158,7 @@ def title_links(
     a = one(left).select(c(id_col).alias("from_id"), c(title).alias("left_title"))
     b = one(right).select(c(id_col).alias("to_id"), c(title).alias("right_title"))
     pairs = fuzzy_pairs(a.select(c("left_title").alias("t")), b.select(c("right_title").alias("t")), "t", k)
-    linked = pairs.join(a, "left_title").join(b, "right_title")
+    linked = pairs.join(a.hint("merge"), "left_title").join(b.hint("merge"), "right_title")
     return linked.withColumns(
         {
             "levenshtein_score": levenshtein_similarity(c("left_title"), c("right_title")),
@@ -141,7 +171,7 @@ def exact_links(left: DataFrame, right: DataFrame, number: str = "number", id_co
     """Links by equal cleaned number, strength 1."""
     a = left.where(c(number).isNotNull()).select(number, c(id_col).alias("from_id"))
     b = right.where(c(number).isNotNull()).select(number, c(id_col).alias("to_id"), c("title").alias("right_title"))
-    return a.join(b, number).select("from_id", "to_id", "right_title", F.lit(1.0).alias("strength"))
+    return a.join(b.hint("merge"), number).select("from_id", "to_id", "right_title", F.lit(1.0).alias("strength"))
 
 
 def link_table(

@@ -200,3 +200,15 @@ def test_snapshots_join_only_the_buckets_that_differ(spark):
     for kept in (None, digests(old)):
         got = {tuple(r) for r in crosscheck.snapshot_changes(old, new, "k", ["a", "b"], 512, kept).collect() if r["k"] is not None}
         assert got == expected
+
+
+def test_title_links_pass_nothing_through_the_driver(spark):
+    a, b = _variants(40, 4)
+    rows = lambda titles: spark.createDataFrame(list(enumerate(titles)), "id int, title string").withColumn("number", c("id").cast("string"))
+    left, right = rows(a), rows(b + b[:5])
+    for one, other in ((left, right), (right, left)):  # either side may be the smaller one
+        got = linkage.title_links(one, other, k=2)
+        plans = got._jdf.queryExecution().toString() + linkage.exact_links(one, other)._jdf.queryExecution().toString()
+        assert "BroadcastExchange" not in plans
+        pairs = {(r.left_title, r.right_title) for r in got.collect()}
+        assert pairs == {(x, y) for x in set(r.title for r in one.collect()) for y in set(r.title for r in other.collect()) if osa(x, y) <= 2}
