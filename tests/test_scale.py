@@ -202,10 +202,14 @@ def test_snapshots_join_only_the_buckets_that_differ(spark):
         assert got == expected
 
 
-def test_title_links_pass_nothing_through_the_driver(spark):
+def test_title_links_pass_nothing_through_the_driver(spark, tmp_path):
+    def rows(titles, name):  # read from files, whose sizes Spark knows
+        df = spark.createDataFrame(list(enumerate(titles)), "id int, title string").withColumn("number", c("id").cast("string"))
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
     a, b = _variants(40, 4)
-    rows = lambda titles: spark.createDataFrame(list(enumerate(titles)), "id int, title string").withColumn("number", c("id").cast("string"))
-    left, right = rows(a), rows(b + b[:5])
+    left, right = rows(a, "left"), rows(b + b[:5], "right")
     for one, other in ((left, right), (right, left)):  # either side may be the smaller one
         got = linkage.title_links(one, other, k=2)
         plans = got._jdf.queryExecution().toString() + linkage.exact_links(one, other)._jdf.queryExecution().toString()
