@@ -175,7 +175,7 @@ def s13(spark, d):
 def s14_files(spark, d):
     """Collections of five hundred records written and scanned back, one row per record."""
     parts = collections(_mods_texts(spark, d), "o_orderkey", by_width("o_orderkey", 4096), 500)
-    folder = write_collections(parts, run_dir(spark, "collections"))
+    folder = write_collections(parts, run_dir(spark, "collections"), compression="gzip")
     rows = xml.read_collection(spark, folder, "titleInfo array<struct<title:string>>, recordInfo struct<recordIdentifier:string>")
     key = F.regexp_extract("recordInfo.recordIdentifier", r"(\d+)$", 1).cast("bigint")
     return rows.select(key.alias("o_orderkey"), F.get(c("titleInfo"), 0)["title"].alias("title"))
@@ -289,6 +289,6 @@ def t05(spark, d):
 def s17(spark, d):
     """Collection files scanned by their record element, with the whole schema."""
     parts = collections(_mods_texts(spark, d), "o_orderkey", by_width("o_orderkey", 4096), 500)
-    rows = xml.read_collection(spark, write_collections(parts, run_dir(spark, "records")), mods.SCHEMA)
+    rows = xml.read_collection(spark, write_collections(parts, run_dir(spark, "records"), compression="gzip"), mods.SCHEMA)
     pid = F.regexp_extract(F.get("recordInfo", 0)["recordIdentifier"], r"(\d+)$", 1).cast("bigint")
     return rows.select(pid.alias("pid"), F.size("titleInfo").alias("n_titles"), F.array_join("typeOfResource", "; ").alias("resource_types"))

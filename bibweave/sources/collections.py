@@ -19,12 +19,16 @@ def collections(records: DataFrame, key: str, chunk: Column, size: int = 25, doc
     )
 
 
-def write_collections(parts: DataFrame, folder: str, prefix: str = "mods") -> str:
-    """One file per collection, in a folder named by its number."""
+def write_collections(parts: DataFrame, folder: str, prefix: str = "mods", compression: str = "none") -> str:
+    """One file per collection, in a folder named by its number.
+
+    ``parts`` has one row per collection, as ``collections`` gives them, so whole documents need not be shuffled once more.
+    Records repeat the same tags: compressed files (``gzip``) take a small part of the room.
+    """
     name = F.format_string(f"{prefix}_%02d", c("part"))
-    parts.select(name.alias("collection"), "value").repartition("collection").write.mode("overwrite").partitionBy(
-        "collection"
-    ).option("lineSep", "\n").text(folder)
+    parts.select(name.alias("collection"), "value").write.mode("overwrite").partitionBy("collection").options(
+        lineSep="\n", compression=compression
+    ).text(folder)
     return folder
 
 
