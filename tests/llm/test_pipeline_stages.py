@@ -196,3 +196,25 @@ def test_encode(spark):
         ids = library.encode_ordinary(t or "")
         assert got[k]["n_tokens"] == len(ids) and got[k]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert got[k]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
+
+
+def test_near_judges_what_linked_fingerprints_suggest(spark, monkeypatch):
+    calls, method = [], corpus_pipeline.simhash.components
+    monkeypatch.setattr(corpus_pipeline.simhash, "components", lambda *a, **k: calls.append(a) or method(*a, **k))
+    r = random.Random(8)
+    rows = list(enumerate(planted(r, 2)))
+    assert kept(corpus_pipeline.near(spark, frame(spark, rows), "")) == without_near_copies(rows)
+    assert len(calls) == 1
+    wrong = spark.createDataFrame([(r.randrange(len(rows)), r.randrange(len(rows))) for _ in range(200)], "a long, b long")
+    assert sorted(near_copies.components(frame(spark, rows), suggested=wrong).collect()) == sorted(near_copies.components(frame(spark, rows)).collect())
+
+
+def test_sketches_differ_in_no_more_bits_than_the_sets(spark):
+    r = random.Random(9)
+    base = [r.randrange(1 << 64) for _ in range(300)]
+    sets = [set(base[: r.randint(1, 300)]) | {r.randrange(1 << 64) for _ in range(r.randint(0, 40))} for _ in range(40)]
+    number = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    rows = near_copies._sketches(np.array([h for s in sets for h in s], np.uint64), number, len(sets)).view(np.uint64).tolist()
+    for a, x in zip(sets, rows):
+        for b, y in zip(sets, rows):
+            assert sum((i ^ j).bit_count() for i, j in zip(x, y)) <= len(a ^ b)
