@@ -209,36 +209,44 @@ def well_formed(doc: Column) -> Column:
 
 _TEXT = "struct<`#`:string,`@type`:string,`@lang`:string,`@authority`:string,`@displayLabel`:string,`@invalid`:string>"
 _TITLE = "struct<`@lang`:string,`@type`:string,title:string,subTitle:string>"
-SCHEMA = f"""
-  genre array<{_TEXT}>,
-  name array<struct<`@type`:string,`@authority`:string,`@xlink:href`:string,namePart:array<{_TEXT}>,
-    role:array<struct<roleTerm:array<{_TEXT}>>>,affiliation:array<string>,description:array<string>>>,
-  titleInfo array<{_TITLE}>,
-  language array<struct<`@objectPart`:string,languageTerm:array<{_TEXT}>>>,
-  originInfo array<struct<publisher:array<string>,dateIssued:array<string>,dateOther:array<{_TEXT}>>>,
-  physicalDescription array<struct<form:array<{_TEXT}>,extent:array<string>>>,
-  identifier array<{_TEXT}>,
-  typeOfResource array<string>,
-  relatedItem array<struct<`@type`:string,titleInfo:{_TITLE},note:array<{_TEXT}>,identifier:array<{_TEXT}>,genre:array<{_TEXT}>,
-    part:struct<detail:array<struct<`@type`:string,number:string>>,extent:struct<start:string,`end`:string>>>>,
-  subject array<struct<`@lang`:string,`@authority`:string,`@xlink:href`:string,topic:array<string>,genre:string>>,
-  abstract array<{_TEXT}>,
-  note array<{_TEXT}>,
-  location array<struct<url:array<{_TEXT}>>>,
-  recordInfo array<struct<recordOrigin:string,recordContentSource:string,recordCreationDate:string,recordChangeDate:string,
-    recordIdentifier:string>>,
-  `__bad` string
-"""
+FIELDS = {
+    "genre": f"array<{_TEXT}>",
+    "name": f"array<struct<`@type`:string,`@authority`:string,`@xlink:href`:string,namePart:array<{_TEXT}>,"
+    f"role:array<struct<roleTerm:array<{_TEXT}>>>,affiliation:array<string>,description:array<string>>>",
+    "titleInfo": f"array<{_TITLE}>",
+    "language": f"array<struct<`@objectPart`:string,languageTerm:array<{_TEXT}>>>",
+    "originInfo": f"array<struct<publisher:array<string>,dateIssued:array<string>,dateOther:array<{_TEXT}>>>",
+    "physicalDescription": f"array<struct<form:array<{_TEXT}>,extent:array<string>>>",
+    "identifier": f"array<{_TEXT}>",
+    "typeOfResource": "array<string>",
+    "relatedItem": f"array<struct<`@type`:string,titleInfo:{_TITLE},note:array<{_TEXT}>,identifier:array<{_TEXT}>,"
+    f"genre:array<{_TEXT}>,part:struct<detail:array<struct<`@type`:string,number:string>>,extent:struct<start:string,`end`:string>>>>",
+    "subject": f"array<struct<`@lang`:string,`@authority`:string,`@xlink:href`:string,topic:array<string>,genre:string>>",
+    "abstract": f"array<{_TEXT}>",
+    "note": f"array<{_TEXT}>",
+    "location": f"array<struct<url:array<{_TEXT}>>>",
+    "recordInfo": f"array<struct<recordOrigin:string,recordContentSource:string,recordCreationDate:string,"
+    f"recordChangeDate:string,recordIdentifier:string>>",
+}
+
+
+def schema_of(fields: list[str] | None = None) -> str:
+    """Schema of a record with all its fields or some; the id's field is always there."""
+    return ", ".join(f"{n} {t}" for n, t in FIELDS.items() if fields is None or n in fields or n == "recordInfo") + ", `__bad` string"
+
+
+SCHEMA = schema_of()
 OPTIONS = {"attributePrefix": "@", "valueTag": "#", "columnNameOfCorruptRecord": "__bad"}
 
 
-def parse(records: DataFrame, doc: str = "mods") -> DataFrame:
+def parse(records: DataFrame, doc: str = "mods", fields: list[str] | None = None) -> DataFrame:
     """Records as structs with their numeric id; unreadable ones are left out.
 
+    Every text is read to its end, whatever the ``fields``, but only the values of those (default: all) are built.
     The parsed struct is passed through a one-element explode, so the optimizer
     cannot copy the expensive parse into the filter and every later use.
     """
-    struct = F.explode(F.array(F.from_xml(c(doc), SCHEMA, OPTIONS))).alias("m")
+    struct = F.explode(F.array(F.from_xml(c(doc), schema_of(fields), OPTIONS))).alias("m")
     m = records.select("*", struct).where(c("m").isNotNull() & c("m.__bad").isNull())
     identifier = F.get(F.filter("m.recordInfo", lambda r: r["recordIdentifier"].isNotNull()), 0)["recordIdentifier"]
     pid = F.regexp_replace(identifier, "^.*?:", "").try_cast("bigint")
@@ -250,65 +258,74 @@ def _all_of(rows: Column, field: str) -> Column:
     return F.flatten(F.filter(F.transform(rows, lambda r: r[field]), lambda a: a.isNotNull()))
 
 
+# The field that each table is made of.
+TABLE_FIELDS = {n: n for n in FIELDS if n not in ("name", "subject")} | {"authors": "name", "orgs": "name", "subjects": "subject"}
+
+
 def tables(parsed: DataFrame) -> dict[str, DataFrame]:
-    """The fifteen tables of parsed records, each led by ``pid``. Of an element that repeats every one is a row."""
+    """The fifteen tables of parsed records, each led by ``pid``. Of an element that repeats every one is a row.
+
+    Records parsed with some fields only give the tables of these (``TABLE_FIELDS``).
+    """
+    have = set(parsed.schema["m"].dataType.names)
 
     def each(field: str, **cols: str) -> DataFrame:
         rows = parsed.select("pid", F.explode(f"m.{field}").alias("x"))
         return rows.select("pid", *[c(p).alias(n) for n, p in cols.items()])
 
-    names = parsed.select("pid", F.posexplode("m.name").alias("id", "x")).select(
+    part = lambda kind: F.get(F.transform(F.filter("namePart", lambda p: p["@type"] == kind), lambda p: p["#"]), 0)
+    names = lambda: parsed.select("pid", F.posexplode("m.name").alias("id", "x")).select(
         "pid", (c("id") + 1).alias("id"), c("x.`@type`").alias("type"), c("x.`@authority`").alias("aut"),
         c("x.`@xlink:href`").alias("href"), F.explode_outer(_all_of(c("x.role"), "roleTerm")["#"]).alias("role"), "x.namePart",
         c("x.affiliation").alias("affs"), c("x.description").alias("descs"),
     )
-    part = lambda kind: F.get(F.transform(F.filter("namePart", lambda p: p["@type"] == kind), lambda p: p["#"]), 0)
-    people = names.where(c("type") == "personal").select(
+    people = lambda: names().where(c("type") == "personal").select(
         "pid", "id", "aut", "href", "role", part("family").alias("family"), part("given").alias("given"),
         F.explode_outer("affs").alias("affiliation"), "descs",
     )
-    orgs = names.where(c("type") == "corporate").select(
+    orgs = lambda: names().where(c("type") == "corporate").select(
         "pid", "id", "aut", "href", "role", F.explode_outer("namePart").alias("np"), "affs", "descs"
     )
-    hosts = parsed.select("pid", F.explode("m.relatedItem").alias("x"))
+    hosts = lambda: parsed.select("pid", F.explode("m.relatedItem").alias("x"))
     detail = lambda kind: F.get(F.transform(F.filter("x.part.detail", lambda p: p["@type"] == kind), lambda p: p["number"]), 0)
-    return {
-        "genre": each("genre", desc="x.`#`", aut="x.`@authority`", type="x.`@type`", lang="x.`@lang`"),
-        "orgs": orgs.select("pid", "id", "aut", "href", "role", c("np.`#`").alias("org"), F.explode_outer("affs").alias("aff"), "descs")
+    made = {
+        "genre": lambda: each("genre", desc="x.`#`", aut="x.`@authority`", type="x.`@type`", lang="x.`@lang`"),
+        "orgs": lambda: orgs().select("pid", "id", "aut", "href", "role", c("np.`#`").alias("org"), F.explode_outer("affs").alias("aff"), "descs")
         .select("pid", "id", "aut", "href", "role", "org", "aff", F.explode_outer("descs").alias("desc")),
-        "authors": people.select(
+        "authors": lambda: people().select(
             "pid", "id", "aut", "href", "role", "family", "given", "affiliation", F.explode_outer("descs").alias("description")),
-        "titleInfo": each("titleInfo", title="x.title", subtitle="x.subTitle", lang="x.`@lang`", type="x.`@type`"),
-        "language": parsed.select("pid", F.explode("m.language").alias("x")).select("pid", "x", F.explode_outer("x.languageTerm").alias("t")).select(
+        "titleInfo": lambda: each("titleInfo", title="x.title", subtitle="x.subTitle", lang="x.`@lang`", type="x.`@type`"),
+        "language": lambda: parsed.select("pid", F.explode("m.language").alias("x")).select("pid", "x", F.explode_outer("x.languageTerm").alias("t")).select(
             "pid", c("t.`#`").alias("language_term"), c("t.`@type`").alias("language_type"),
             c("t.`@authority`").alias("language_authority"), c("x.`@objectPart`").alias("object_part")),
-        "originInfo": parsed.select("pid", F.explode("m.originInfo").alias("x"))
+        "originInfo": lambda: parsed.select("pid", F.explode("m.originInfo").alias("x"))
         .select("pid", "x", F.explode_outer("x.publisher").alias("publisher"))
         .select("pid", "x", "publisher", F.explode_outer("x.dateIssued").alias("date_issued"))
         .select("pid", "publisher", "date_issued", F.explode_outer("x.dateOther").alias("o"))
         .select("pid", "publisher", "date_issued", c("o.`#`").alias("date_other"), c("o.`@type`").alias("date_other_type")),
-        "physicalDescription": parsed.select("pid", F.explode("m.physicalDescription").alias("x"))
+        "physicalDescription": lambda: parsed.select("pid", F.explode("m.physicalDescription").alias("x"))
         .select("pid", "x", F.explode_outer("x.form").alias("f"))
         .select("pid", c("f.`#`").alias("form"), c("f.`@authority`").alias("form_authority"), F.explode_outer("x.extent").alias("extent")),
-        "identifier": each("identifier", id_name="x.`@type`", id_value="x.`#`", id_label="x.`@displayLabel`"),
-        "typeOfResource": parsed.select("pid", F.explode("m.typeOfResource").alias("resource_type")),
-        "relatedItem": hosts.select(
+        "identifier": lambda: each("identifier", id_name="x.`@type`", id_value="x.`#`", id_label="x.`@displayLabel`"),
+        "typeOfResource": lambda: parsed.select("pid", F.explode("m.typeOfResource").alias("resource_type")),
+        "relatedItem": lambda: hosts().select(
             "pid", c("x.`@type`").alias("relateditem_type"), c("x.titleInfo.title").alias("title"),
             detail("volume").alias("volume"), detail("issue").alias("issue"),
             c("x.part.extent.start").alias("part_extent_start"), c("x.part.extent.end").alias("part_extent_end"),
             F.explode_outer("x.identifier").alias("i")).select(
             "pid", "relateditem_type", "title", "volume", "issue", "part_extent_start", "part_extent_end",
             c("i.`@type`").alias("identifier_type"), c("i.`#`").alias("identifier")),
-        "subjects": parsed.select("pid", F.explode("m.subject").alias("x")).select(
+        "subjects": lambda: parsed.select("pid", F.explode("m.subject").alias("x")).select(
             "pid", c("x.`@lang`").alias("lang"), c("x.`@authority`").alias("authority"), c("x.`@xlink:href`").alias("href"),
             F.explode_outer("x.topic").alias("topic")),
-        "abstract": each("abstract", abstract="x.`#`", lang="x.`@lang`"),
-        "note": each("note", note="x.`#`", note_type="x.`@type`", note_lang="x.`@lang`"),
-        "location": parsed.select("pid", F.explode("m.location").alias("x")).select("pid", F.explode_outer("x.url").alias("u")).select(
+        "abstract": lambda: each("abstract", abstract="x.`#`", lang="x.`@lang`"),
+        "note": lambda: each("note", note="x.`#`", note_type="x.`@type`", note_lang="x.`@lang`"),
+        "location": lambda: parsed.select("pid", F.explode("m.location").alias("x")).select("pid", F.explode_outer("x.url").alias("u")).select(
             "pid", c("u.`#`").alias("url"), c("u.`@displayLabel`").alias("url_display")),
-        "recordInfo": each("recordInfo", record_origin="x.recordOrigin", record_source="x.recordContentSource",
+        "recordInfo": lambda: each("recordInfo", record_origin="x.recordOrigin", record_source="x.recordContentSource",
                            record_created="x.recordCreationDate", record_changed="x.recordChangeDate", record_id="x.recordIdentifier"),
     }
+    return {name: make() for name, make in made.items() if TABLE_FIELDS[name] in have}
 
 
 # --- linked data ------------------------------------------------------------------------------
