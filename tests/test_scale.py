@@ -216,3 +216,14 @@ def test_title_links_pass_nothing_through_the_driver(spark, tmp_path):
         assert "BroadcastExchange" not in plans
         pairs = {(r.left_title, r.right_title) for r in got.collect()}
         assert pairs == {(x, y) for x in set(r.title for r in one.collect()) for y in set(r.title for r in other.collect()) if osa(x, y) <= 2}
+
+
+def test_join_with_many_pairs_is_divided_over_tasks(spark, tmp_path):
+    from bibweave.plans.catalogue import QUERIES
+
+    bal = ((c("id") * 37) % 101).cast("double")
+    spark.range(200).select(c("id").alias("c_custkey"), (c("id") % 2).alias("c_nationkey"), bal.alias("c_acctbal")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(30).select(c("id").alias("s_suppkey"), (c("id") % 2).alias("s_nationkey"), bal.alias("s_acctbal")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    pairs = QUERIES["j10_residual"](spark, str(tmp_path))
+    assert pairs.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, pairs.collect())) == [(i, j) for i in range(200) for j in range(30) if i % 2 == j % 2 and i * 37 % 101 > j * 37 % 101]
