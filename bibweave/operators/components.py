@@ -1,13 +1,14 @@
 """Connected components of a graph of ids, and the clusters of ids that are candidates for merging.
 
-The graph is a table of pairs. Rounds of two steps bring every id to the smallest one it is connected with: in a large-star step
-an id hands its larger neighbours to the smallest id it sees, in a small-star step its smaller ones. The number of rounds
-grows with the logarithm of the longest chain, not with its length. Each round is written to the shared folder, so a lost
-executor repeats one round at most, and the rounds end when the pairs no longer change.
+The graph is a table of pairs. In a round every id takes the one of least hash among itself and its neighbours as its label, and
+pairs of ids become pairs of labels; those within one label are done and leave. The hash makes the order of ids random, so a round
+leaves a part of the ids only, whatever the shape of the graph (local contraction), and all rounds together cost little more
+than the first. Labels and pairs of each round are written to the shared folder, so a lost executor repeats one round at most.
+At the end labels are followed from the last round to the first.
 
 An id with very many neighbours (a placeholder that half of the records carry) would bring all its pairs to one task, as the
-minimum of its neighbours has to meet each of them. So an id's pairs are divided into ``salts`` parts by the hash of the
-neighbour; the minimum is taken per part, then over the parts, and handed to every part.
+least of its neighbours has to meet each of them. So an id's pairs are divided into ``salts`` parts by the hash of the
+neighbour; the least is taken per part, then over the parts, and handed to every part.
 """
 
 from __future__ import annotations
@@ -20,17 +21,27 @@ c = F.col
 SALTS = 32
 
 
-def _with_least(pairs: DataFrame, salts: int) -> DataFrame:
-    """``pairs`` (a, b) with m, the smallest of a and all its neighbours, on every row."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int"))
-    parts = salted.groupBy("a", "salt").agg(F.min("b").alias("m"))
+def _salt(other: str, salts: int):
+    return F.pmod(F.xxhash64(other), F.lit(salts)).cast("int")
+
+
+def _labels(pairs: DataFrame, salts: int, seed: int) -> DataFrame:
+    """(id, label, salts) of every id in ``pairs`` (a, b): the id of least hash among itself and its neighbours, and its parts."""
+    least = lambda x: F.struct(F.xxhash64(x, F.lit(seed)).alias("h"), c(x).alias("label"))
+    ends = pairs.select(c("a").alias("id"), c("b").alias("n")).union(pairs.select("b", "a")).withColumn("salt", _salt("n", salts))
+    parts = ends.groupBy("id", "salt").agg(F.min(least("n")).alias("m"))
     # an id has at most ``salts`` parts, so the list is short
-    least = parts.groupBy("a").agg(F.least(c("a"), F.min("m")).alias("m"), F.collect_list("salt").alias("salts"))
-    return salted.join(least.select("a", "m", F.explode("salts").alias("salt")), ["a", "salt"]).drop("salt")
+    whole = parts.groupBy("id").agg(F.min("m").alias("m"), F.collect_list("salt").alias("salts"))
+    return whole.select("id", F.least("m", least("id"))["label"].alias("label"), "salts")
 
 
-def _state(pairs: DataFrame):
-    return pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+def _labelled(pairs: DataFrame, labels: DataFrame, salts: int) -> DataFrame:
+    """The pairs of different labels that the pairs of ids become."""
+    for end, other in (("a", "b"), ("b", "a")):
+        parts = labels.select(c("id").alias(end), c("label").alias(f"{end}_label"), F.explode("salts").alias("salt"))
+        pairs = pairs.withColumn("salt", _salt(other, salts)).join(parts, [end, "salt"]).drop("salt")
+    apart = pairs.where("a_label != b_label")
+    return apart.select(F.greatest("a_label", "b_label").alias("a"), F.least("a_label", "b_label").alias("b")).distinct()
 
 
 def components(edges: DataFrame, left: str, right: str, salts: int = SALTS) -> DataFrame:
@@ -42,19 +53,20 @@ def components(edges: DataFrame, left: str, right: str, salts: int = SALTS) -> D
     whole = both.where("a is not null and b is not null and a != b")
     ids = both.select(c("a").alias("id")).union(both.select("b")).where("id is not null").distinct()
     pairs = cut_lineage(whole.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "components")
-    seen = _state(pairs)
-    while True:
-        around = _with_least(pairs.union(pairs.select("b", "a")), salts)
-        large = around.where("b > a").select(c("b").alias("a"), c("m").alias("b")).distinct()
-        down = _with_least(large, salts)
-        small = down.where("b != m").select(c("b").alias("a"), c("m").alias("b")).union(down.select("a", c("m").alias("b")))
-        pairs = cut_lineage(small.distinct(), "components")
-        now = _state(pairs)
-        if now == seen:
-            break
-        seen = now
-    return ids.join(pairs.select(c("a").alias("id"), c("b").alias("component")), "id", "left").select(
-        "id", F.coalesce("component", "id").alias("component"))
+    rounds = []
+    while not pairs.isEmpty():
+        # two rounds have one order: the second ends what the first made of a hub
+        rounds.append(cut_lineage(_labels(pairs, salts, len(rounds) // 2), "components"))
+        pairs = cut_lineage(_labelled(pairs, rounds[-1], salts), "components")
+    if not rounds:
+        return ids.select("id", c("id").alias("component"))
+    found = rounds.pop().select("id", c("label").alias("root"))
+    while rounds:
+        later = found.select(c("id").alias("label"), "root")
+        found = rounds.pop().select("id", "label").join(later, "label", "left").select("id", F.coalesce("root", "label").alias("root"))
+    found = cut_lineage(found, "components")
+    least = found.groupBy("root").agg(F.min("id").alias("component"))
+    return ids.join(found.join(least, "root").select("id", "component"), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def id_pairs(authors: DataFrame, ids: list[str]) -> DataFrame:

@@ -51,6 +51,24 @@ def test_components(spark, salts):
     assert graph.components(df.limit(0), "a", "b").count() == 0
 
 
+def test_rounds_of_components_shrink(spark, monkeypatch):
+    rng = random.Random(3)
+    names = [f"c{i:04}" for i in rng.sample(range(9000), 1200)]
+    pairs = list(zip(names, names[1:])) + [("hub", f"h{i:04}") for i in range(1200)]
+    written, write = [], graph.cut_lineage
+
+    def noted(df, purpose):
+        out = write(df, purpose)
+        if out.columns == ["a", "b"]:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "cut_lineage", noted)
+    got = dict(graph.components(spark.createDataFrame(pairs, "a string, b string"), "a", "b").collect())
+    assert got == joined(pairs)
+    assert written[0] == len(pairs) and written[-1] == 0 and sum(written) < 4 * len(pairs)
+
+
 def test_merge_candidates(spark):
     rows = [(1, "o1", "s1"), (2, "o1", "s2"), (3, "o2", "s2"), (4, "o3", "s3"), (4, "o3", "s3"), (5, None, "s4"), (6, "o4", None), (7, None, None), (8, "o2", None)]
     df = spark.createDataFrame(rows, "PID long, orcid string, staffid string")
