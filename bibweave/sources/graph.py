@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from bibweave.session import cut_lineage
+
 c = F.col
 
 
@@ -44,24 +46,33 @@ def _present(columns: list[str], needed: list[str]) -> None:
 
 def author_nodes(authors: DataFrame, columns: list[str]) -> DataFrame:
     """Authors with a synthetic id that depends on the row's content only, so a
-    rerun or a lost task gives the same ids. Equal rows are one node."""
-    key = F.concat(F.lit("m"), F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256))
-    return authors.select(key.alias("mid"), *columns, F.lit("Author").alias("label")).distinct()
+    rerun or a lost task gives the same ids. Equal rows are one node; they meet
+    without their ids, which are longer than the rows."""
+    return _with_ids(authors.select(*columns).distinct())
+
+
+def _with_ids(rows: DataFrame) -> DataFrame:
+    key = F.concat(F.lit("m"), F.sha2(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}), 256))
+    return rows.select(key.alias("mid"), "*", F.lit("Author").alias("label"))
 
 
 def write_nodes(df: DataFrame, folder: str, name: str, header: str) -> None:
-    """Data files without a header next to a one-line header file."""
+    """Data files (gzip) without a header next to a one-line header file."""
     df.write.mode("overwrite").options(
-        header=False, nullValue="", emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        compression="gzip", header=False, nullValue="", emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(f"{folder}/{name}")
     spark = df.sparkSession
     spark.createDataFrame([(header,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/{name}-header")
 
 
 def bulk_extract(pubs: DataFrame, authors: DataFrame, folder: str) -> dict[str, str]:
-    """Publication nodes, author nodes and relations; returns the headers."""
+    """Publication nodes, author nodes and relations; returns the headers.
+
+    Distinct author rows are written once to the shared folder, nodes and relations are both made from there.
+    """
     nodes = pubs.drop("Abstract").withColumn("label", F.lit("Publication"))
-    people = author_nodes(authors, [x for x in ("PID", "staffid", "name", "orcid", "orgid", "extorg") if x in authors.columns])
+    columns = [x for x in ("PID", "staffid", "name", "orcid", "orgid", "extorg") if x in authors.columns]
+    people = _with_ids(cut_lineage(authors.select(*columns).distinct(), "people"))
     rels = people.select("PID", "mid", *[x for x in people.columns if x not in ("PID", "mid", "label")]).withColumn(
         "reltype", F.lit("AUTHOR")
     )
