@@ -293,8 +293,11 @@ def _name_strings(spark, d):
     """One name string per order, an author per distinct supplier; every third
     supplier comes without affiliation."""
     li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("PID"), "l_suppkey").distinct()
-    person = F.format_string("Last%d, F [u1%06d]", F.col("l_suppkey"), F.col("l_suppkey"))
-    place = F.when(F.col("l_suppkey") % 3 == 1, F.format_string(" (Home [1], Unit; x (sub) [%d])", F.col("l_suppkey"))
+    k = F.col("l_suppkey").cast("string")
+    # a format string is slow; the usual keys need none
+    padded = F.when(F.col("l_suppkey").between(0, 999999), F.lpad(k, 6, "0")).otherwise(F.format_string("%06d", F.col("l_suppkey")))
+    person = F.concat(F.lit("Last"), F.coalesce(k, F.lit("null")), F.lit(", F [u1"), padded, F.lit("]"))
+    place = F.when(F.col("l_suppkey") % 3 == 1, F.concat(F.lit(" (Home [1], Unit; x (sub) ["), k, F.lit("])"))
                    ).when(F.col("l_suppkey") % 3 == 2, F.lit(" (Ext Univ; City (A))")).otherwise(F.lit(""))
     named = li.select("PID", F.struct("l_suppkey", F.concat(person, place).alias("t")).alias("x"))
     joined = named.groupBy("PID").agg(

@@ -38,3 +38,12 @@ def test_authors_behind_deep_groups(spark):
     assert [r["name"] for r in sorted(rows, key=lambda r: r["pos"])] == ["A, B", "C, D", "E, F"]
     first = min(rows, key=lambda r: r["pos"])
     assert first["extorg"] == "p (" * 30 + "core; x" + ")" * 30 and first["n_aff_ext"] == 2 and first["n_aff_own"] == 2 and first["staffid"] == "u1abcdef"
+
+
+def test_a_record_is_parsed_once(spark):
+    df = spark.createDataFrame([(1, "A, B [u1abcdef] (Ext; C);D, E"), (2, "D, E"), (3, None)], "PID long, Name string")
+    plan = names.parse_names(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(__marked") == 1
+    records = names.parse_records(df)
+    assert "regexp" not in records._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["PID"], r["name"], r["n_pid"]) for r in records.collect()} == {(1, "A, B", 1), (1, "D, E", 2), (2, "D, E", 2)}
