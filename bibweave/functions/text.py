@@ -150,13 +150,17 @@ def _folded_letters() -> tuple[str, str]:
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
-def match_text(col: Column) -> Column:
-    """Lower case, accented Latin letters as ASCII, combining marks dropped, runs of blanks collapsed."""
+def fold_text(col: Column) -> Column:
+    """Lower case, accented Latin letters as ASCII, combining marks dropped."""
     folded = F.lower(col)
     for letter, pair in (("æ", "ae"), ("œ", "oe"), ("ß", "ss"), ("þ", "th")):
         folded = F.replace(folded, F.lit(letter), F.lit(pair))
-    folded = F.regexp_replace(F.translate(folded, *_folded_letters()), r"[\u0300-\u036f]", "")
-    return F.regexp_replace(folded, r"\s+", " ")
+    return F.regexp_replace(F.translate(folded, *_folded_letters()), r"[\u0300-\u036f]", "")
+
+
+def match_text(col: Column) -> Column:
+    """Text folded, runs of blanks collapsed."""
+    return F.regexp_replace(fold_text(col), r"\s+", " ")
 
 
 def publication_class(col: Column) -> Column:

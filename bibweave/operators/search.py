@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bibweave.functions.text import first_words, match_text
+from bibweave.functions.text import first_words, fold_text
 from bibweave.session import cut_lineage
 
 c = F.col
@@ -22,7 +22,7 @@ K1, B, NEAR = 1.2, 0.75, 10
 
 def tokens(col):
     """Words of a text: letters and digits, lower case, accents folded."""
-    return F.filter(F.split(match_text(col), r"[^\p{L}\p{N}]+"), lambda t: F.length(t) > 0)
+    return F.array_remove(F.split(fold_text(col), r"[^\p{L}\p{N}]+"), "")
 
 
 def query_terms(queries: DataFrame, key: str, text: str, n_words: int = 4) -> DataFrame:
@@ -51,16 +51,25 @@ def _within(places: Column, around: Column, low: int, high: int) -> Column:
     return F.filter(places, lambda p: F.exists(around, lambda r: (r >= p - low) & (r <= p + high)))
 
 
-def _together(found: Column, spread: int) -> Column:
-    """Per word of a query how often it stands in a stretch that has all its words.
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """The rows with a column that is computed once: a lambda that uses it would repeat an expression for every element."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
 
-    ``found`` are structs (n, term, places), fewest places first. Only places near one of the rarest word's are looked at.
+
+def _together(rows: DataFrame, spread: int) -> DataFrame:
+    """(query, doc, len, term, tf): how often each word of a query stands in a stretch that has all its words.
+
+    ``rows`` (query, doc, len, found) have structs (n, term, places), fewest places first. Only places near one of the rarest
+    word's are looked at; a text that lacks a word there has no such stretch.
     """
-    rare = F.get(found, F.lit(0))["places"]
-    near = F.transform(found, lambda f: F.struct(f["term"].alias("term"), _within(f["places"], rare, spread, spread).alias("places")))
-    every = F.array_distinct(F.flatten(F.transform(near, lambda f: f["places"])))
-    opens = F.filter(every, lambda p: F.forall(near, lambda f: F.exists(f["places"], lambda x: (x >= p) & (x <= p + spread))))
-    return F.transform(near, lambda f: F.struct(f["term"].alias("term"), F.size(_within(f["places"], opens, spread, 0)).alias("tf")))
+    rare = F.get(c("found"), F.lit(0))["places"]
+    near = F.transform("found", lambda f: F.struct(f["term"].alias("term"), _within(f["places"], c("rare"), spread, spread).alias("places")))
+    close = _once(_once(rows, "rare", rare), "near", near).where(F.forall("near", lambda f: F.size(f["places"]) > 0))
+    every = F.array_distinct(F.flatten(c("near.places")))
+    opens = F.filter(every, lambda p: F.forall("near", lambda f: F.exists(f["places"], lambda x: (x >= p) & (x <= p + spread))))
+    met = _once(close, "opens", opens).where(F.size("opens") > 0)
+    counts = F.transform("near", lambda f: F.struct(f["term"].alias("term"), F.size(_within(f["places"], c("opens"), spread, 0)).alias("tf")))
+    return met.select("query", "doc", "len", F.explode(counts).alias("x")).select("query", "doc", "len", "x.*").where("tf > 0")
 
 
 def search(corpus: DataFrame, doc: str, text: str, terms: DataFrame, near: int = NEAR) -> DataFrame:
@@ -75,16 +84,14 @@ def search(corpus: DataFrame, doc: str, text: str, terms: DataFrame, near: int =
     listed = stored.where("term is not null")
     frequency = listed.select("term", "doc").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     known = wanted.join(frequency, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    lead = known.groupBy("query").agg(
-        F.min_by("term", F.struct("df", "term")).alias("term"), F.count(F.lit(1)).alias("n_terms")
-    )
-    candidates = lead.join(listed.select("term", "doc").distinct(), "term").select("query", "doc", "n_terms")
-    rows = candidates.join(wanted, "query").join(listed, ["doc", "term"])
     # a group has as many rows as its query has words
-    found = rows.groupBy("query", "doc", "len", "n_terms").agg(
-        F.sort_array(F.collect_list(F.struct(F.size("places").alias("n"), "term", "places"))).alias("found")
-    ).where(F.size("found") == c("n_terms"))
-    tf = found.select("query", "doc", "len", F.explode(_together(c("found"), near + 1)).alias("x")).select("query", "doc", "len", "x.*").where("tf > 0")
+    lead = known.where("query is not null").groupBy("query").agg(F.min_by("term", F.struct("df", "term")).alias("term"), F.collect_list("term").alias("words"))
+    candidates = lead.join(listed.select("term", "doc", "len"), "term").select("query", "words", "doc", "len")
+    # a group has as many rows as its text has different words
+    texts = listed.groupBy("doc", "len").agg(F.collect_list(F.struct(F.size("places").alias("n"), "term", "places")).alias("has"))
+    rows = candidates.join(texts, ["doc", "len"]).where(F.size(F.array_except("words", c("has.term"))) == 0)
+    found = F.sort_array(F.filter("has", lambda f: F.array_contains("words", f["term"])))
+    tf = _together(_once(rows.select("query", "doc", "len", "words", "has"), "found", found).select("query", "doc", "len", "found"), near + 1)
     weights = terms.groupBy("query", "term").agg(F.count(F.lit(1)).alias("times")).join(frequency, "term")
     n, avg_len = size.select("n_docs").scalar(), size.select("avg_len").scalar()
     idf = F.log((n - c("df") + 0.5) / (c("df") + 0.5))
