@@ -46,11 +46,11 @@ class WaveletMatrix:
         row = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         planes, ones = [], []
         for level in reversed(range(levels)):
-            mask = (row >> row.dtype.type(level)) & row.dtype.type(1) == 1
+            mask = (row & row.dtype.type(1 << level)) != 0
             packed = np.packbits(np.concatenate([mask, np.zeros(-n % BLOCK, bool)]))
             planes.append(packed)
             ones.append(cls._directory(packed))
-            row = np.concatenate([row[~mask], row[mask]])
+            row = np.concatenate([row[np.flatnonzero(~mask)], row[np.flatnonzero(mask)]])  # places are gathered faster than by a mask
         return cls(n, planes, ones)
 
     @staticmethod
@@ -121,7 +121,7 @@ class WaveletMatrix:
             above = np.zeros(self.n, np.uint32 if len(self.planes) > 16 else np.uint16)
             if row is not None:
                 zeros = self._zeros(level)
-                above[~mask], above[mask] = row[:zeros], row[zeros:]
+                above[np.flatnonzero(~mask)], above[np.flatnonzero(mask)] = row[:zeros], row[zeros:]
             above |= mask.astype(above.dtype) << above.dtype.type(depth)
             row = above
         return row

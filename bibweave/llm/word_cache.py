@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import filterfalse
 
 import numpy as np
 from tokenizers import Tokenizer
 
-_LINES = re.compile(r"(?<=\S)\n(?=\S)")
+_LINES = re.compile(r"\n(?<=\S\n)(?=\S)")  # a line feed first: it is searched for as such
 _BLANKS = re.compile(r" (?=\S)")
 _UNSURE = re.compile(r" \s| \Z")
 _SPACE = re.compile(r"\s")
@@ -26,6 +25,8 @@ BLANK = "Ġ"
 class WordCache:
     #: Pieces in the younger of two tables per worker; when it is full it becomes the older one, and what is still in use moves over.
     LIMIT = 1_000_000
+    #: What stands for the line feed between two lines; no piece is empty.
+    BETWEEN = ""
     #: Pieces given to the library as one text.
     TOGETHER = 4096
     _open: dict[str, WordCache] = {}
@@ -36,9 +37,9 @@ class WordCache:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
         self.blank[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.newline, self.marks = self._library(["\n"])[0], dict(zip(".,", self._library([".", ","])))
+        self.known: dict[str, bytes] = {self.BETWEEN: self.newline}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def named(cls, path: str) -> WordCache:
@@ -61,13 +62,13 @@ class WordCache:
 
     def _learn(self, new: set[str]) -> None:
         """Puts the ids of pieces that the younger table lacks into it."""
-        new = new.difference(self._moved(new))
-        known = self.known
+        new, known = new - self._moved(new), self.known
         ended = [p for p in new if p[-1] in ".," and p[-2:-1].isalpha()]
-        bases = {p[:-1] for p in ended}.union(new.difference(ended)).difference(known)
-        bases = sorted(bases.difference(self._moved(bases)))
-        plain = [p for p in bases if not _SPACE.search(p)]
-        other = [p for p in bases if _SPACE.search(p)]
+        bases = {p[:-1] for p in ended}.difference(known)
+        bases = sorted((bases - self._moved(bases)) | new.difference(ended))
+        plain, other = [p for p in bases if p[:1] != "\n"], [p for p in bases if p[:1] == "\n"]
+        if len(_SPACE.findall(" ".join(plain))) != max(len(plain) - 1, 0):
+            plain, other = [p for p in plain if not _SPACE.search(p)], [p for p in bases if _SPACE.search(p)]
         for at in range(0, len(plain), self.TOGETHER):
             some = plain[at : at + self.TOGETHER]
             known.update(zip(some, self._together(some)))
@@ -79,7 +80,7 @@ class WordCache:
 
     def _moved(self, pieces: set[str]) -> set[str]:
         """Those of the pieces that stood in the older table only, and now in the younger one."""
-        found = {p for p in pieces if p in self.older}
+        found = {p for p in pieces if p in self.older} if self.older else set()
         self.known.update((p, self.older[p]) for p in found)
         return found
 
@@ -94,12 +95,17 @@ class WordCache:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.known) > self.LIMIT:
-            self.known, self.older = {}, self.known
-        split = [[self.pieces(line) for line in _LINES.split(t)] for t in texts]
-        new: set[str] = set()
-        for lines in split:
-            for line in lines:
-                new.update(filterfalse(self.known.__contains__, line))
-        self._learn(new)
-        get = self.known.__getitem__
-        return [self.newline.join([b"".join(map(get, line)) for line in lines]) for lines in split]
+            self.known, self.older = {self.BETWEEN: self.newline}, self.known
+        pieces, ends = [], []
+        for t in texts:
+            for line in _LINES.split(t):
+                pieces += self.pieces(line)
+                pieces.append(self.BETWEEN)
+            pieces.pop()
+            ends.append(len(pieces))
+        ids = list(map(self.known.get, pieces))
+        new = [i for i, x in enumerate(ids) if x is None]
+        self._learn({pieces[i] for i in new})
+        for i in new:
+            ids[i] = self.known[pieces[i]]
+        return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends)]

@@ -167,3 +167,29 @@ def test_a_stream_that_is_cut_off_is_an_error():
     for cut in (1, 8, 20, len(gzip.compress(b"b" * 10)) + 3):  # within the trailer, the data and the first member
         with pytest.raises((EOFError, zlib.error)):
             list(warc.inflated(io.BytesIO(whole[:-cut])))
+
+
+class Looked(dict):
+    """Counts what is asked of it."""
+
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+    def __contains__(self, key):
+        self.asked += 1
+        return super().__contains__(key)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+def test_word_cache_looks_up_a_known_piece_once():
+    cache = WordCache(public_tokenizers.path("byte_bpe_50k.json"))
+    before = cache.encode(["ab cd ef gh"] * 50)
+    cache.known = Looked(cache.known)
+    assert cache.encode(["ab cd ef gh"] * 50) == before
+    assert cache.known.asked == 200
