@@ -188,7 +188,13 @@ class Codec:
         self.pieces = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
-        self.texts = F.from_json(F.lit(json.dumps([p.decode("latin-1") for p in self.pieces], separators=(",", ":"))), "array<string>")
+        self.texts = self._table(self.pieces)
+        self.numbers = self._table([i.to_bytes(4, "little") for i in range(len(self.pieces))])
+
+    @staticmethod
+    def _table(values: list[bytes]) -> Column:
+        """A literal of byte strings by id, a character for each byte."""
+        return F.from_json(F.lit(json.dumps([v.decode("latin-1") for v in values], separators=(",", ":"))), "array<string>")
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
@@ -257,15 +263,17 @@ class Codec:
         ids = F.when(F.size("found.cold") == 0, F.col("found.ids")).otherwise(whole)
         return found.select("doc_id", "text", F.explode(F.array(ids)).alias("ids"))  # one element: so no use of ids repeats its making
 
+    @staticmethod
+    def _joined(ids: Column, table: Column) -> Column:
+        return F.encode(F.array_join(let(table, lambda t: F.transform(ids, lambda i: F.get(t, i))), ""), "ISO-8859-1")
+
     def decode(self, ids: Column) -> Column:
-        """The bytes that the ids stand for: their pieces, a character for each byte, joined."""
-        pieces = let(self.texts, lambda t: F.transform(ids, lambda i: F.get(t, i)))
-        return F.encode(F.array_join(pieces, ""), "ISO-8859-1")
+        """The bytes that the ids stand for: their pieces joined."""
+        return self._joined(ids, self.texts)
 
     def packed(self, ids: Column) -> Column:
         """The ids as little-endian unsigned 32-bit integers."""
-        byte = lambda i, at: F.char(F.shiftright(i, 8 * at).bitwiseAND(F.lit(255)))
-        return F.encode(F.array_join(F.transform(ids, lambda i: F.concat(*[byte(i, at) for at in range(4)])), ""), "ISO-8859-1")
+        return self._joined(ids, self.numbers)
 
 
 def public_codec() -> Codec:

@@ -234,3 +234,10 @@ def test_pipeline(spark, docs, tmp_path):
         state = after
     out = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert set(out) == {r["doc_id"] for r in state.collect()} and all(n > 0 for n in out.values())
+
+
+def test_ids_are_packed_by_one_look_up_each(spark):
+    codec, ids = byte_bpe.public_codec(), [0, 255, 256, 10, 49_000]
+    packed = spark.createDataFrame([(ids,), ([],), (None,)], "ids array<int>").select(codec.packed(F.col("ids")).alias("x"))
+    assert [None if r.x is None else bytes(r.x) for r in packed.collect()] == [np.array(ids, "<u4").tobytes(), b"", None]
+    assert "char(" not in packed._jdf.queryExecution().optimizedPlan().toString()
