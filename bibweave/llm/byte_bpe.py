@@ -2,8 +2,9 @@
 
 A text is cut into words by the tokenizer's pattern. The merges of a word are a fold over its byte array: the state holds the
 pieces with the ranks of neighbouring pairs; every step joins the leftmost pair of lowest rank and looks up the two new pairs.
-The ranks are one literal: for every two pieces that make a third its rank, addressed by their ids. A piece that its own bytes
-do not merge to would need an id of its own beside the fold; a rank file with such a piece is refused.
+The ranks are one constant: for every two pieces that make a third its rank, addressed by their ids. A piece that its own bytes
+do not merge to would need an id of its own beside the fold; a rank file with such a piece is refused. Constants of this size are
+session variables: spelled out as literals they would stand in the text of every plan, which the driver keeps and logs.
 
 Each distinct word that occurs twice or more is folded once for the whole corpus. The most frequent of them go to the tasks as
 a table of hashes and ids (``CACHED_WORDS`` at most); every other word is folded in its row, once per text. Both give the same
@@ -17,15 +18,14 @@ from __future__ import annotations
 
 import base64
 import functools
-import json
+import uuid
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bibweave.llm.shared import chosen
 from bibweave.session import cut_lineage, spread
@@ -60,6 +60,24 @@ def let(value: Column, body) -> Column:
     return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
 
 
+def constant(values: list, kind: str) -> Column:
+    """An array that every row sees, as a variable of the session; plans don't show its elements."""
+    spark, name = SparkSession.builder.getOrCreate(), f"bibweave_{uuid.uuid4().hex}"
+    spark.createDataFrame(pa.table({"value": pa.array([values])})).select(F.col("value").cast(kind)).createTempView(name)
+    spark.sql(f"DECLARE VARIABLE {name} {kind}")
+    spark.sql(f"SET VARIABLE {name} = (SELECT value FROM {name})")
+    spark.catalog.dropTempView(name)
+    return F.expr(f"session.{name}")
+
+
+def opened(table: dict[str, Column], body, **fields: Column) -> Column:
+    """``body`` of the table's fields, each looked up once."""
+    if len(fields) == len(table):
+        return body(fields)
+    name = list(table)[len(fields)]
+    return let(table[name], lambda x: opened(table, body, **fields, **{name: x}))
+
+
 def merged_pieces(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """The plain rule: join the leftmost neighbours of lowest rank until no two of them make a piece."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -106,20 +124,19 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[int, list[int], list[int]]:
     return salt, shifts.tolist(), cells.tolist()
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as one literal struct: ``single`` (ids of the 256 bytes), ``shifts`` and ``cells`` (see ``pair_table``)."""
+def rank_literal(ranks: dict[bytes, int]) -> dict[str, Column]:
+    """The rank map as constants: ``single`` (ids of the 256 bytes) and the parts of ``pair_table``, with sizes as masks."""
     if max(ranks.values()) >= NONE:
         raise ValueError(f"ranks must be below {NONE}")
     if missing := [b for b in range(256) if bytes([b]) not in ranks]:
         raise ValueError(f"bytes without a rank: {missing}")
     salt, shifts, cells = pair_table(ranks)
-    sizes = {"salt": salt, "shift_mask": len(shifts) - 1, "cell_mask": len(cells) - 1}
-    parts = {"single": [ranks[bytes([b])] for b in range(256)], "shifts": shifts, "cells": cells}
-    schema = ", ".join([f"{k} long" for k in sizes] + [f"{k} array<long>" for k in parts])
-    return F.from_json(F.lit(json.dumps(sizes | parts, separators=(",", ":"))), schema)
+    numbers = {"salt": salt, "shift_mask": len(shifts) - 1, "cell_mask": len(cells) - 1}
+    arrays = {"single": [ranks[bytes([b])] for b in range(256)], "shifts": shifts, "cells": cells}
+    return {k: F.lit(v).cast("long") for k, v in numbers.items()} | {k: constant(v, "array<long>") for k, v in arrays.items()}
 
 
-def _pair(table: Column, a: Column, b: Column) -> Column:
+def _pair(table: dict[str, Column], a: Column, b: Column) -> Column:
     """The rank (and id) of two neighbouring ids together, else NONE; beside a word's end there is no id."""
 
     def found(key: Column, h: Column) -> Column:
@@ -137,7 +154,7 @@ def _entry(rank: Column, low: Column) -> Column:
     return F.shiftleft(rank, LOW_BITS).bitwiseOR(low)
 
 
-def _step(table: Column, s: Column) -> Column:
+def _step(table: dict[str, Column], s: Column) -> Column:
     """One merge: the entry of lowest rank takes in its right neighbour, and both pairs beside it are looked up."""
 
     def joined(lowest: Column, p: Column) -> Column:
@@ -152,8 +169,8 @@ def _step(table: Column, s: Column) -> Column:
     return let(F.array_min(s), lambda lowest: F.when(lowest >= F.lit(LAST), s).otherwise(let(F.array_position(s, lowest).cast("int"), lambda p: joined(lowest, p))))
 
 
-def fold(word: Column, table: Column) -> Column:
-    """The ids of one non-empty word.
+def fold(word: Column, table: dict[str, Column]) -> Column:
+    """The ids of one non-empty word. ``table``: the rank map, ``opened`` outside, as each step looks at it.
 
     An entry of the state is one long: rank of the pair it begins, place of its first byte, id. So the smallest entry is the
     leftmost pair of lowest rank. An entry without rank stands at both ends.
@@ -193,8 +210,11 @@ class Codec:
 
     @staticmethod
     def _table(values: list[bytes]) -> Column:
-        """A literal of byte strings by id, a character for each byte."""
-        return F.from_json(F.lit(json.dumps([v.decode("latin-1") for v in values], separators=(",", ":"))), "array<string>")
+        """A constant of byte strings by id, a character for each byte."""
+        return constant([v.decode("latin-1") for v in values], "array<string>")
+
+    def _with_ranks(self, body) -> Column:
+        return opened(self.literal, body)
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
@@ -211,7 +231,7 @@ class Codec:
                 break
             least = row["n"]
         frequent = counts.where(F.lit(False) if least is None else F.col("n") >= least)
-        ids = let(self.literal, lambda b: fold(F.col("word"), b))
+        ids = self._with_ranks(lambda table: fold(F.col("word"), table))
         table = spread(frequent, "word").select(F.xxhash64("word").alias("h"), ids.alias("ids")).toArrow()
         h, lists = table.column("h").combine_chunks().to_numpy(), table.column("ids").combine_chunks()
         order = np.argsort(h)
@@ -227,40 +247,47 @@ class Codec:
         rows = chosen(docs, key, text)
         shared = docs.sparkSession.sparkContext.broadcast(self.cache(rows, cached_words))
 
-        @F.arrow_udf("struct<ids: array<int>, cold: array<int>>")
+        @F.arrow_udf("struct<parts: array<array<int>>, cold: array<int>, holes: array<int>>")
         def looked_up(hashes: pa.Array) -> pa.Array:
             return in_parts(hashes, some)
 
         def some(hashes: pa.Array) -> pa.Array:
-            """Ids where the word's hash is known, else -1 - k for the k-th distinct unknown word of the text."""
+            """``parts``: the ids between words whose hash is unknown; ``cold``: where the distinct unknown words of the text stand;
+            ``holes``: for each part but the last the number of the unknown word that follows.
+            """
             h, offsets, ids = shared.value
             flat, ends = hashes.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(hashes).to_numpy())])
             at = np.minimum(np.searchsorted(h, flat), max(len(h) - 1, 0))
             known = h[at] == flat if len(h) else np.zeros(len(flat), bool)
             first, length = (offsets[at], offsets[at + 1] - offsets[at]) if len(h) else (np.zeros(len(flat), np.int32),) * 2
-            length = np.where(known, length, 1)
+            length = np.where(known, length, 0)
             begins = np.concatenate([[0], np.cumsum(length)])
-            source = np.repeat(first - begins[:-1], length) + np.arange(begins[-1])
-            out = ids[np.minimum(source, len(ids) - 1)] if len(ids) else np.zeros(begins[-1], np.int32)
-            cold, cold_ends = [], [0]
-            for a, b in zip(ends[:-1], ends[1:]):
-                unknown = np.flatnonzero(~known[a:b])
-                if len(unknown):
-                    _, place, which = np.unique(flat[a:b][unknown], return_index=True, return_inverse=True)
-                    out[begins[a + unknown]] = -1 - which
-                    cold.append(unknown[place])
-                cold_ends.append(cold_ends[-1] + (len(cold[-1]) if len(unknown) else 0))
-            cold = np.concatenate(cold) if cold else np.zeros(0, np.int64)
+            out = ids[np.repeat(first - begins[:-1], length) + np.arange(begins[-1])] if len(ids) else np.zeros(0, np.int32)
+            unknown = np.flatnonzero(~known)
+            before = np.searchsorted(unknown, ends)
+            cold, cold_ends, holes = [], [0], []
+            for a, i, j in zip(ends[:-1], before[:-1], before[1:]):
+                if i < j:
+                    _, place, which = np.unique(flat[unknown[i:j]], return_index=True, return_inverse=True)
+                    cold.append(unknown[i:j][place] - a)
+                    holes.append(which)
+                cold_ends.append(cold_ends[-1] + (len(cold[-1]) if i < j else 0))
+            lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            joined = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int32())
+            # a part begins with each text and after each unknown word, which has no ids
+            cuts = begins[np.sort(np.concatenate([ends[:-1], unknown + 1]))]
+            parts = lists(np.append(cuts, begins[-1]), pa.array(out, pa.int32()))
             return pa.StructArray.from_arrays([
-                pa.ListArray.from_arrays(pa.array(begins[ends], pa.int32()), pa.array(out, pa.int32())),
-                pa.ListArray.from_arrays(pa.array(cold_ends, pa.int32()), pa.array(cold, pa.int32())),
-            ], ["ids", "cold"])
+                lists(before + np.arange(len(ends)), parts), lists(cold_ends, joined(cold)), lists(before, joined(holes)),
+            ], ["parts", "cold", "holes"])
 
         cut = rows.withColumn("words", self.words(F.col("text")))
         found = cut.withColumn("found", looked_up(F.transform("words", lambda w: F.xxhash64(w))))
-        folded = let(self.literal, lambda b: F.transform("found.cold", lambda i: fold(F.get("words", i), b)))
-        whole = let(folded, lambda cold: F.flatten(F.transform("found.ids", lambda i: F.when(i < 0, F.get(cold, -1 - i)).otherwise(F.array(i)))))
-        ids = F.when(F.size("found.cold") == 0, F.col("found.ids")).otherwise(whole)
+        folded = self._with_ranks(lambda table: F.transform("found.cold", lambda i: fold(F.get("words", i), table)))
+        nothing = F.array().cast("array<int>")
+        filled = lambda cold: F.transform("found.parts", lambda part, i: F.array(part, F.coalesce(F.get(cold, F.get("found.holes", i)), nothing)))
+        whole = let(folded, lambda cold: F.flatten(F.flatten(filled(cold))))
+        ids = F.when(F.size("found.cold") == 0, F.flatten("found.parts")).otherwise(whole)
         return found.select("doc_id", "text", F.explode(F.array(ids)).alias("ids"))  # one element: so no use of ids repeats its making
 
     @staticmethod
@@ -277,12 +304,12 @@ class Codec:
 
 
 def public_codec() -> Codec:
-    """The rank file and pattern of the public vocabulary; made once per Spark context, as its literals are large."""
-    return _codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, SparkContext.getOrCreate())
+    """The rank file and pattern of the public vocabulary; made once per session, as its tables are large."""
+    return _codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, SparkSession.builder.getOrCreate())
 
 
 @functools.lru_cache(maxsize=1)
-def _codec(path: str, pattern: str, context: SparkContext) -> Codec:
+def _codec(path: str, pattern: str, session: SparkSession) -> Codec:
     return Codec(read_ranks(path), pattern)
 
 

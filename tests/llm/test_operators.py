@@ -77,6 +77,11 @@ def test_exact_dedup(docs):
     assert exact_dedup.groups(df.limit(0)).count() == 0
 
 
+def test_byte_bpe_plans_do_not_spell_out_its_tables(docs):
+    coded = byte_bpe.digests(docs[1], byte_bpe.public_codec())
+    assert len(coded._jdf.queryExecution().executedPlan().toString()) < 100_000
+
+
 def test_byte_bpe(docs):
     rows, df = docs
     codec = byte_bpe.public_codec()
