@@ -60,9 +60,9 @@ def let(value: Column, body) -> Column:
     return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
 
 
-def constant(values: list, kind: str) -> Column:
+def constant(values: list, kind: str, session: SparkSession | None = None) -> Column:
     """An array that every row sees, as a variable of the session; plans don't show its elements."""
-    spark, name = SparkSession.builder.getOrCreate(), f"bibweave_{uuid.uuid4().hex}"
+    spark, name = session or SparkSession.builder.getOrCreate(), f"bibweave_{uuid.uuid4().hex}"
     spark.createDataFrame(pa.table({"value": pa.array([values])})).select(F.col("value").cast(kind)).createTempView(name)
     spark.sql(f"DECLARE VARIABLE {name} {kind}")
     spark.sql(f"SET VARIABLE {name} = (SELECT value FROM {name})")
@@ -124,7 +124,7 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[int, list[int], list[int]]:
     return salt, shifts.tolist(), cells.tolist()
 
 
-def rank_literal(ranks: dict[bytes, int]) -> dict[str, Column]:
+def rank_literal(ranks: dict[bytes, int], session: SparkSession | None = None) -> dict[str, Column]:
     """The rank map as constants: ``single`` (ids of the 256 bytes) and the parts of ``pair_table``, with sizes as masks."""
     if max(ranks.values()) >= NONE:
         raise ValueError(f"ranks must be below {NONE}")
@@ -133,7 +133,7 @@ def rank_literal(ranks: dict[bytes, int]) -> dict[str, Column]:
     salt, shifts, cells = pair_table(ranks)
     numbers = {"salt": salt, "shift_mask": len(shifts) - 1, "cell_mask": len(cells) - 1}
     arrays = {"single": [ranks[bytes([b])] for b in range(256)], "shifts": shifts, "cells": cells}
-    return {k: F.lit(v).cast("long") for k, v in numbers.items()} | {k: constant(v, "array<long>") for k, v in arrays.items()}
+    return {k: F.lit(v).cast("long") for k, v in numbers.items()} | {k: constant(v, "array<long>", session) for k, v in arrays.items()}
 
 
 def _pair(table: dict[str, Column], a: Column, b: Column) -> Column:
@@ -198,20 +198,20 @@ def in_parts(lists: pa.Array, work) -> pa.Array:
 class Codec:
     """A rank file and its pattern as column functions."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, session: SparkSession | None = None):
         if apart := [piece for piece in ranks if len(merged_pieces(piece, ranks)) > 1]:
             raise ValueError(f"{len(apart)} pieces do not come out of their own bytes, such as {apart[0]!r}")
-        self.pattern, self.literal = java_pattern(pattern), rank_literal(ranks)
+        self.pattern, self.literal = java_pattern(pattern), rank_literal(ranks, session)
         self.pieces = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
-        self.texts = self._table(self.pieces)
-        self.numbers = self._table([i.to_bytes(4, "little") for i in range(len(self.pieces))])
+        self.texts = self._table(self.pieces, session)
+        self.numbers = self._table([i.to_bytes(4, "little") for i in range(len(self.pieces))], session)
 
     @staticmethod
-    def _table(values: list[bytes]) -> Column:
+    def _table(values: list[bytes], session: SparkSession | None) -> Column:
         """A constant of byte strings by id, a character for each byte."""
-        return constant([v.decode("latin-1") for v in values], "array<string>")
+        return constant([v.decode("latin-1") for v in values], "array<string>", session)
 
     def _with_ranks(self, body) -> Column:
         return opened(self.literal, body)
@@ -303,14 +303,14 @@ class Codec:
         return self._joined(ids, self.numbers)
 
 
-def public_codec() -> Codec:
+def public_codec(session: SparkSession | None = None) -> Codec:
     """The rank file and pattern of the public vocabulary; made once per session, as its tables are large."""
-    return _codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, SparkSession.builder.getOrCreate())
+    return _codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, session or SparkSession.builder.getOrCreate())
 
 
 @functools.lru_cache(maxsize=1)
 def _codec(path: str, pattern: str, session: SparkSession) -> Codec:
-    return Codec(read_ranks(path), pattern)
+    return Codec(read_ranks(path), pattern, session)
 
 
 def digests(docs: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text", cached_words: int = CACHED_WORDS) -> DataFrame:

@@ -40,7 +40,7 @@ def op5_warc_members(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return byte_bpe.digests(_table(spark, folder, "documents"), byte_bpe.public_codec())
+    return byte_bpe.digests(_table(spark, folder, "documents"), byte_bpe.public_codec(spark))
 
 
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
