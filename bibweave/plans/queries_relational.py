@@ -10,7 +10,6 @@ from bibweave.functions import nulls, text
 from bibweave.operators import calendar, groups, joins, ordered, reshape, setops
 from bibweave.plans.bindings import AS_OF, bound, with_bound
 from bibweave.plans.registry import query, table
-from bibweave.session import spread
 
 c = F.col
 
@@ -200,9 +199,9 @@ def j09(spark, d):
 @query("j10_residual", """SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey AND
 c_acctbal > s_acctbal""")
 def j10(spark, d):
-    # few bytes and many pairs: every task gets a share of the customers, however few files or nations there are
-    cu, s = spread(table(spark, d, "customer"), "c_custkey"), table(spark, d, "supplier")
-    return cu.join(s, (cu.c_nationkey == s.s_nationkey) & (cu.c_acctbal > s.s_acctbal)).select("c_custkey", "s_suppkey")
+    cu = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    return joins.above(cu, s, ("c_nationkey", "s_nationkey"), ("c_acctbal", "s_acctbal")).select("c_custkey", "s_suppkey")
 
 
 @query("j11_point_in_time", with_bound("hr", sql="""SELECT emp_key, staffid FROM hr WHERE emp_beg <= DATE '1999-01-01' AND emp_end >= DATE '1999-01-01'"""))
