@@ -7,11 +7,11 @@ under keys packed of (anchor, descending score, kind, id), so that sorting bytes
 opens a window at each positive and hands out negatives until the window has enough; it holds an anchor's open windows, never
 its pairs.
 
-Rows are packed to blocks of ``BLOCK`` rows where they lie, anchors likewise. Blocks of rows are dealt to cells, every block of
-anchors goes to every cell, and a join on the cell lets each block of rows meet each block of anchors once. A meeting is one
-product of matrices, and it hands on only pairs that can still win: first the best ``positives`` rows per anchor; then, when all
-positives and so all windows are known, the best ``negatives`` rows per window. What is left out has as many better rows in its
-own block, so the result is that of all pairs.
+Rows are packed to blocks of ``BLOCK`` rows where they lie, anchors likewise. Blocks of rows are dealt to as many cells as there
+are shuffle partitions, every block of anchors goes to every cell, and a merge join on the cell lets each block of rows meet each
+block of anchors once; neither side is broadcast. A meeting is one product of matrices, and it hands on only pairs that can still
+win: first the best ``positives`` rows per anchor; then, when all positives and so all windows are known, the best ``negatives``
+rows per window. What is left out has as many better rows in its own block, so the result is that of all pairs.
 
 Rows with a null label or vector, or with a null or non-finite component (also one that ``scale`` times it is no finite double),
 take no part; nor do rows without an id. Rows that repeat an id are rows of their own, each an anchor if its id says so, and don't
@@ -235,12 +235,13 @@ def mine(
     opened = packed.mapInArrow(_unpacked, "id long, number long, label long, v array<double>").where(anchor)
     few = cut_lineage(opened.mapInArrow(_packing(anchors, 1), _PACKED).withColumn("block", F.monotonically_increasing_id()), "negatives-anchors")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = max(parts, packed.count())
-    dealt = packed.withColumn("cell", F.expr(f"pmod(xxhash64(monotonically_increasing_id()), {cells}L)"))
+    dealt = packed.withColumn("cell", F.expr(f"pmod(xxhash64(monotonically_increasing_id()), {parts}L)"))
 
     def met(few: DataFrame) -> DataFrame:
         sent = few.select(*(F.col(c).alias(f"a_{c}") for c in packed.columns), *(c for c in few.columns if c not in packed.columns))
-        return sent.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long")))).join(dealt, "cell").drop("cell")
+        sent = sent.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+        # merged: Spark takes the copies of the anchors for no larger than the anchors, and would broadcast them through the driver
+        return sent.repartition(parts, "cell").join(dealt.repartition(parts, "cell").hint("merge"), "cell").drop("cell")
 
     first = _sorted(met(few).mapInArrow(_positives(rule), _PAIRS)).mapInArrow(_first(rule), _PAIRS + ", score long")
     first = cut_lineage(first, "negatives-positives")
